@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.lookup import lookup
+
 # Fixed value: enriched rows below this share of the source raise the loss alert.
 KEPT_SHARE = 0.95
 
@@ -23,14 +25,18 @@ def step_metrics(df: DataFrame, stage: str) -> DataFrame:
 
 
 def chain_metrics(
-    transaccion: DataFrame, persona: DataFrame, empresa: DataFrame, stages: tuple[str, str, str]
+    transaccion: DataFrame,
+    persona: DataFrame,
+    empresa: DataFrame,
+    stages: tuple[str, str, str],
+    strategy: str = "auto",
 ) -> DataFrame:
     """``step_metrics`` of all three steps from one pass over the fact.
 
     A left lookup never drops a row, it can only repeat one. So the later steps are the
     first step with each row weighted by how often its keys occur in the dimension.
     """
-    matched = _per_person(transaccion, persona, empresa).where("copies IS NOT NULL")
+    matched = _per_person(transaccion, persona, empresa, strategy).where("copies IS NOT NULL")
     weights = (
         ("n", "copies", "amount_n", "amount"),
         ("n", "copies_employed", "amount_n", "amount"),
@@ -60,9 +66,11 @@ def chain_metrics(
     return totals.select(F.inline(F.array(*steps)))
 
 
-def match_report(transaccion: DataFrame, persona: DataFrame, empresa: DataFrame) -> DataFrame:
+def match_report(
+    transaccion: DataFrame, persona: DataFrame, empresa: DataFrame, strategy: str = "auto"
+) -> DataFrame:
     """Why the enriched count differs from the source: rows lost and rows repeated, apart."""
-    per_person = _per_person(transaccion, persona, empresa)
+    per_person = _per_person(transaccion, persona, empresa, strategy)
     found = F.col("copies").isNotNull()
     return per_person.agg(
         F.sum("n").alias("origen"),
@@ -76,47 +84,58 @@ def match_report(transaccion: DataFrame, persona: DataFrame, empresa: DataFrame)
                 F.col("n_merchant") * F.col("copies_employed") - F.col("n") * F.col("copies"),
             ).otherwise(0)
         ).alias("repetidas_empresa"),
-    ).select(*[F.coalesce(c, F.lit(0)).alias(c) for c in _MATCH])
-
-
-_MATCH = ["origen", "sin_persona", "repetidas_persona", "repetidas_empresa"]
+    ).na.fill(0)
 
 
-def _per_person(transaccion: DataFrame, persona: DataFrame, empresa: DataFrame) -> DataFrame:
+def _per_person(
+    transaccion: DataFrame, persona: DataFrame, empresa: DataFrame, strategy: str
+) -> DataFrame:
     """The fact summed per person key, next to how often that key occurs in the dimension.
 
     The sums are combined before the shuffle, so a person holding a third of the fact is one
     row per task by then; both sides are then already partitioned by the key they join on.
-    Merchant keys that occur once have weight 1, so only repeated ones are looked up.
+    Merchant keys that occur once have weight 1, so only repeated ones are looked up;
+    ``strategy`` says how.
     """
     repeated = (
-        empresa.where("ID IS NOT NULL")
-        .groupBy(F.col("ID").alias("company"))
-        .agg(F.count("*").alias("k"))
-        .where("k > 1")
+        empresa.where("ID IS NOT NULL").groupBy("ID").agg(F.count("*").alias("k")).where("k > 1")
     )
-    merchant = F.coalesce("k", F.lit(1))
+    weight = F.coalesce("k", F.lit(1))
+    amount = F.col("MONTO")
     fact = (
-        transaccion.select("ID_PERSONA", "ID_EMPRESA", "MONTO")
-        .join(repeated, F.col("ID_EMPRESA") == F.col("company"), "left")
+        lookup(
+            transaccion.select("ID_PERSONA", "ID_EMPRESA", "MONTO"),
+            repeated,
+            "ID_EMPRESA",
+            "ID",
+            {"k": "k"},
+            "left",
+            strategy,
+        )
         .groupBy("ID_PERSONA")
         .agg(
             F.count("*").alias("n"),
-            F.sum(merchant).alias("n_merchant"),
-            F.count("MONTO").alias("amount_n"),
-            F.sum("MONTO").alias("amount"),
-            F.sum(F.when(F.col("MONTO").isNotNull(), merchant)).alias("amount_n_merchant"),
-            F.sum(F.col("MONTO") * merchant).alias("amount_merchant"),
-            F.min("MONTO").alias("least"),
-            F.max("MONTO").alias("greatest"),
+            F.sum(weight).alias("n_merchant"),
+            F.count(amount).alias("amount_n"),
+            F.sum(amount).alias("amount"),
+            F.sum(F.when(amount.isNotNull(), weight)).alias("amount_n_merchant"),
+            F.sum(amount * weight).alias("amount_merchant"),
+            F.min(amount).alias("least"),
+            F.max(amount).alias("greatest"),
         )
     )
     people = (
-        persona.where("ID IS NOT NULL")
-        .select("ID", "ID_EMPRESA")
-        .join(repeated, F.col("ID_EMPRESA") == F.col("company"), "left")
+        lookup(
+            persona.where("ID IS NOT NULL").select("ID", "ID_EMPRESA"),
+            repeated,
+            "ID_EMPRESA",
+            "ID",
+            {"k": "k"},
+            "left",
+            strategy,
+        )
         .groupBy("ID")
-        .agg(F.count("*").alias("copies"), F.sum(merchant).alias("copies_employed"))
+        .agg(F.count("*").alias("copies"), F.sum(weight).alias("copies_employed"))
     )
     return fact.join(people, F.col("ID_PERSONA") == F.col("ID"), "left")
 

@@ -28,7 +28,11 @@ STRATEGIES = ("auto", "broadcast", "shuffle", "isolate")
 SMALL_ROWS = 100_000
 SMALL_BYTES = 104_857_600
 
+# A key is hot above this share of the fact's rows.
 HOT_SHARE = 0.01
+_MOST_HOT = 100
+# Sketch entries; its counts are then off by less than a thousandth of the rows.
+_TRACKED = 10_000
 
 _KEY = "_lookup_key"
 _ROW_OVERHEAD = 64
@@ -48,11 +52,20 @@ def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_B
     return rows < max_rows and (size or 0) <= max_bytes
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that each hold more than ``share`` of all rows: at most ``1 / share`` of them."""
-    total = df.count()
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    return [row[0] for row in counts.where(F.col("count") > total * share).collect()]
+def hot_keys(df: DataFrame, *keys: str) -> dict[str, list]:
+    """For each key column the values, NULL included, that hold more than ``HOT_SHARE`` of all rows.
+
+    One pass with a frequent-items sketch per column: bounded memory, no shuffle by key and at
+    most ``1 / HOT_SHARE`` values each. Counts are approximate, which is enough: the list
+    decides how rows travel, never which rows come out.
+    """
+    sketches = [
+        F.call_function("approx_top_k", F.col(k), F.lit(_MOST_HOT), F.lit(_TRACKED)).alias(k)
+        for k in keys
+    ]
+    row = df.agg(F.count("*").alias("_rows"), *sketches).first()
+    limit = row["_rows"] * HOT_SHARE
+    return {k: [i["item"] for i in row[k] if i["count"] > limit] for k in keys}
 
 
 def lookup(
@@ -63,10 +76,12 @@ def lookup(
     attributes: Mapping[str, str],
     how: str = "left",
     strategy: str = "auto",
+    hot: list | None = None,
 ) -> DataFrame:
     """``fact`` plus ``attributes`` (dimension column -> new name) of the matching rows.
 
-    Keys compare as they are: no trimming and no cast.
+    Keys compare as they are: no trimming and no cast. ``hot`` spares ``isolate`` the pass
+    over the fact that finds the hot keys.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
@@ -80,7 +95,8 @@ def lookup(
             return _join(fact, F.broadcast(right), fact_key, how)
         strategy = "isolate"
     if strategy == "isolate":
-        return _join_isolated(fact, right, fact_key, how)
+        hot = hot_keys(fact, fact_key)[fact_key] if hot is None else hot
+        return _join_isolated(fact, right, fact_key, how, hot)
     return _join(fact, right.hint("merge") if strategy == "shuffle" else right, fact_key, how)
 
 
@@ -88,16 +104,20 @@ def _join(fact: DataFrame, right: DataFrame, fact_key: str, how: str) -> DataFra
     return fact.join(right, F.col(fact_key) == F.col(_KEY), how).drop(_KEY)
 
 
-def _join_isolated(fact: DataFrame, right: DataFrame, fact_key: str, how: str) -> DataFrame:
-    keys = hot_keys(fact, fact_key)
+def _join_isolated(
+    fact: DataFrame, right: DataFrame, fact_key: str, how: str, hot: list
+) -> DataFrame:
     key = F.col(fact_key)
-    hot = F.coalesce(key.isin(keys), F.lit(False))
-    if how == "left":
+    values = [v for v in hot if v is not None]
+    apart = F.coalesce(key.isin(values), F.lit(False))
+    if how == "left" and None in hot:
         # Missing keys match nothing, yet a shuffle would send them all to one partition.
-        hot = hot | key.isNull()
-    hot_right = right.where(F.col(_KEY).isin(keys))
+        apart = apart | key.isNull()
+    elif not values:
+        return _join(fact, right, fact_key, how)
+    hot_right = right.where(F.col(_KEY).isin(values))
     if is_small(hot_right):
         hot_right = F.broadcast(hot_right)
-    return _join(fact.where(hot), hot_right, fact_key, how).unionByName(
-        _join(fact.where(~hot), right, fact_key, how)
+    return _join(fact.where(apart), hot_right, fact_key, how).unionByName(
+        _join(fact.where(~apart), right, fact_key, how)
     )

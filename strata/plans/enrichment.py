@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.casts import lenient_int
-from strata.operators.lookup import lookup
+from strata.operators.lookup import hot_keys, lookup
 from strata.specs import GOLD
 
 _PERSON = {"NOMBRE": "NOMBRE_PERSONA", "EDAD": "EDAD_PERSONA", "SALARIO": "SALARIO_PERSONA"}
@@ -66,6 +66,8 @@ def enrich(
     employed = lookup(
         persona, empresa, "ID_EMPRESA", "ID", {"NOMBRE": "TRABAJO_PERSONA"}, "left", strategy
     )
+    # One pass over the stored fact serves both of its keys.
+    hot = hot_keys(transaccion, "ID_PERSONA", "ID_EMPRESA") if strategy == "isolate" else {}
     people = lookup(
         transaccion,
         employed,
@@ -74,9 +76,17 @@ def enrich(
         {**_PERSON, "TRABAJO_PERSONA": "TRABAJO_PERSONA"},
         "inner",
         strategy,
+        hot.get("ID_PERSONA"),
     )
     complete = lookup(
-        people, empresa, "ID_EMPRESA", "ID", {"NOMBRE": "EMPRESA_TRANSACCION"}, "left", strategy
+        people,
+        empresa,
+        "ID_EMPRESA",
+        "ID",
+        {"NOMBRE": "EMPRESA_TRANSACCION"},
+        "left",
+        strategy,
+        hot.get("ID_EMPRESA"),
     )
     return (
         complete.withColumn("ID_PERSONA", lenient_int(F.col("ID_PERSONA")))
