@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.casts import lenient_int
-from strata.operators.lookup import hot_keys, lookup
+from strata.operators.lookup import hot_keys, is_small, lookup
 from strata.specs import GOLD
 
 _PERSON = {"NOMBRE": "NOMBRE_PERSONA", "EDAD": "EDAD_PERSONA", "SALARIO": "SALARIO_PERSONA"}
@@ -59,23 +59,36 @@ def enrich(
 ) -> DataFrame:
     """All three steps in one lazy plan, in the gold column order.
 
-    The employer depends on the person alone, so it joins the person dimension and not the
-    fact: the fact meets two joins in place of three. The rows are those of the three steps,
-    duplicate dimension keys included.
+    With ``auto`` the steps follow each other, so that Spark sees each dimension's own size.
+    Where companies are too many to broadcast, the employer joins the persons beforehand:
+    it depends on the person alone, and the fact then meets two shuffled joins in place of
+    three. Both ways give the same rows, duplicate dimension keys included.
     """
-    employed = lookup(
-        persona, empresa, "ID_EMPRESA", "ID", {"NOMBRE": "TRABAJO_PERSONA"}, "left", strategy
-    )
+    by_person = by_company = strategy
+    employer_first = strategy in ("shuffle", "isolate")
+    if strategy == "broadcast":
+        if is_small(empresa.select("ID", "NOMBRE")):
+            empresa, by_company = F.broadcast(empresa), "auto"
+        else:
+            employer_first, by_company = True, "isolate"
+    if not employer_first:
+        step1 = with_person(transaccion, persona, by_person)
+        step3 = with_merchant(with_employer(step1, empresa, by_company), empresa, by_company)
+        return step3.select(*GOLD.fieldNames())
+
     # One pass over the stored fact serves both of its keys.
-    hot = hot_keys(transaccion, "ID_PERSONA", "ID_EMPRESA") if strategy == "isolate" else {}
+    hot = hot_keys(transaccion, "ID_PERSONA", "ID_EMPRESA") if by_company == "isolate" else {}
+    employer = {"NOMBRE": "TRABAJO_PERSONA"}
+    employed = lookup(persona, empresa, "ID_EMPRESA", "ID", employer, "left", by_company)
+    attributes = {**_PERSON, "TRABAJO_PERSONA": "TRABAJO_PERSONA"}
     people = lookup(
         transaccion,
         employed,
         "ID_PERSONA",
         "ID",
-        {**_PERSON, "TRABAJO_PERSONA": "TRABAJO_PERSONA"},
+        attributes,
         "inner",
-        strategy,
+        by_person,
         hot.get("ID_PERSONA"),
     )
     complete = lookup(
@@ -85,7 +98,7 @@ def enrich(
         "ID",
         {"NOMBRE": "EMPRESA_TRANSACCION"},
         "left",
-        strategy,
+        by_company,
         hot.get("ID_EMPRESA"),
     )
     return (

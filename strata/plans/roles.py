@@ -5,114 +5,101 @@ The dirty roles add bad numbers, blanks, empty text and missing keys by rule.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _day(timestamp: str) -> Column:
-    return F.to_date(timestamp).cast("string")
-
-
-def _person(customers: DataFrame, age: Column, salary: Column, employer: Column) -> DataFrame:
-    key = F.col("c_custkey")
-    return customers.select(
-        key.cast("string").alias("ID"),
-        F.col("c_name").alias("NOMBRE"),
-        F.lpad(key.cast("string"), 9, "0").alias("TELEFONO"),
-        F.concat(F.lower("c_mktsegment"), F.lit("@example.org")).alias("CORREO"),
-        F.date_add(F.lit("2000-01-01").cast("date"), (key % 3650).cast("int"))
-        .cast("string")
-        .alias("FECHA_INGRESO"),
-        age.alias("EDAD"),
-        salary.alias("SALARIO"),
-        employer.alias("ID_EMPRESA"),
+    """A given table; its footer is read once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def _person(spark: SparkSession, sf_dir: str, age: str, salary: str, employer: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS ID",
+        "c_name AS NOMBRE",
+        "lpad(CAST(c_custkey AS STRING), 9, '0') AS TELEFONO",
+        "concat(lower(c_mktsegment), '@example.org') AS CORREO",
+        "CAST(date_add(DATE '2000-01-01', CAST(c_custkey % 3650 AS INT)) AS STRING) AS FECHA_INGRESO",
+        f"{age} AS EDAD",
+        f"{salary} AS SALARIO",
+        f"{employer} AS ID_EMPRESA",
     )
 
 
 def persona(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as persons; age 0 and balances up to 0 will be rejected."""
     return _person(
-        table(spark, sf_dir, "customer"),
-        (F.col("c_custkey") % 100).cast("string"),
-        F.col("c_acctbal").cast("string"),
-        F.col("c_nationkey").cast("string"),
+        spark,
+        sf_dir,
+        age="CAST(c_custkey % 100 AS STRING)",
+        salary="CAST(c_acctbal AS STRING)",
+        employer="CAST(c_nationkey AS STRING)",
     )
 
 
 def persona_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    digit = key % 10
-    age = (
-        F.when(digit == 0, "")
-        .when(digit == 1, "32.7")
-        .when(digit == 2, "abc")
-        .when(digit == 3, F.lit(None).cast("string"))
-        .when(digit == 4, " 41 ")
-        .when(digit == 5, "100")
-        .when(digit == 6, "0")
-        .otherwise((18 + key % 53).cast("string"))
-    )
     return _person(
-        table(spark, sf_dir, "customer"),
-        age,
-        F.when(key % 11 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string")),
-        F.when(key % 13 != 0, F.col("c_nationkey").cast("string")),
+        spark,
+        sf_dir,
+        age="""CASE c_custkey % 10
+          WHEN 0 THEN '' WHEN 1 THEN '32.7' WHEN 2 THEN 'abc' WHEN 3 THEN NULL
+          WHEN 4 THEN ' 41 ' WHEN 5 THEN '100' WHEN 6 THEN '0'
+          ELSE CAST(18 + c_custkey % 53 AS STRING) END""",
+        salary="IF(c_custkey % 11 = 0, 'n/a', CAST(c_acctbal AS STRING))",
+        employer="IF(c_custkey % 13 = 0, NULL, CAST(c_nationkey AS STRING))",
     )
 
 
 def empresa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations outside region 0 as companies, so that some company keys dangle."""
-    return (
-        table(spark, sf_dir, "nation")
-        .where("n_regionkey <> 0")
-        .select(F.col("n_nationkey").cast("string").alias("ID"), F.col("n_name").alias("NOMBRE"))
-    )
+    nations = table(spark, sf_dir, "nation").where("n_regionkey <> 0")
+    return nations.selectExpr("CAST(n_nationkey AS STRING) AS ID", "n_name AS NOMBRE")
 
 
 def empresa_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as companies, every seventh without its key."""
-    key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").select(
-        F.when(key % 7 != 3, key.cast("string")).alias("ID"), F.col("s_name").alias("NOMBRE")
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "IF(s_suppkey % 7 = 3, NULL, CAST(s_suppkey AS STRING)) AS ID", "s_name AS NOMBRE"
     )
 
 
 def empresa_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as the companies of their nations: every key many times over."""
-    return table(spark, sf_dir, "supplier").select(
-        F.col("s_nationkey").cast("string").alias("ID"), F.col("s_name").alias("NOMBRE")
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "CAST(s_nationkey AS STRING) AS ID", "s_name AS NOMBRE"
     )
 
 
 def transaccion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items: bought by the order's customer from the supplier's nation."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines, orders, suppliers = (
+        table(spark, sf_dir, name) for name in ("lineitem", "orders", "supplier")
+    )
     return (
-        lines.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.col("o_custkey").cast("string").alias("ID_PERSONA"),
-            F.col("s_nationkey").cast("string").alias("ID_EMPRESA"),
-            F.col("l_extendedprice").cast("string").alias("MONTO"),
-            _day("o_orderdate").alias("FECHA"),
+        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+        .selectExpr(
+            "CAST(o_custkey AS STRING) AS ID_PERSONA",
+            "CAST(s_nationkey AS STRING) AS ID_EMPRESA",
+            "CAST(l_extendedprice AS STRING) AS MONTO",
+            "CAST(to_date(o_orderdate) AS STRING) AS FECHA",
         )
     )
 
 
 def transaccion_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as transactions over a month of dates."""
-    event = F.col("event_id")
-    value = F.col("value").cast("string")
-    return table(spark, sf_dir, "events").select(
-        F.when(event % 19 != 0, F.col("user_id").cast("string")).alias("ID_PERSONA"),
-        (event % 30).cast("string").alias("ID_EMPRESA"),
-        F.when(F.col("event_type") == "error", "err")
-        .when(event % 17 == 0, F.concat(F.lit("-"), value))
-        .otherwise(value)
-        .alias("MONTO"),
-        _day("ts").alias("FECHA"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "IF(event_id % 19 = 0, NULL, CAST(user_id AS STRING)) AS ID_PERSONA",
+        "CAST(event_id % 30 AS STRING) AS ID_EMPRESA",
+        """CASE WHEN event_type = 'error' THEN 'err'
+          WHEN event_id % 17 = 0 THEN concat('-', CAST(value AS STRING))
+          ELSE CAST(value AS STRING) END AS MONTO""",
+        "CAST(to_date(ts) AS STRING) AS FECHA",
     )
