@@ -66,3 +66,15 @@ def compare(df: DataFrame, con, sql: str | None) -> str | None:
         f"rows {sum(found.values())} against {sum(wanted.values())}; "
         f"missing {list(missing)[:2]}; extra {list(extra)[:2]}"
     )
+
+
+def rows(df: DataFrame) -> Counter:
+    """The rows of ``df`` without their order."""
+    return _bag(df.collect(), df.columns)
+
+
+def plan(df: DataFrame) -> str:
+    """The physical plan as text, before anything runs."""
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "formatted"
+    )
