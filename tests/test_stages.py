@@ -1,0 +1,124 @@
+import pytest
+
+from strata.plans.stages import (
+    Lake,
+    run_curated,
+    run_exports,
+    run_functional,
+    run_landing,
+    run_raw,
+)
+from strata.sinks.exports import EmptyExport
+from strata.specs import EMPRESA, PERSONA, TRANSACCION
+from tests.support import rows
+
+PEOPLE = """ID|NOMBRE|TELEFONO|CORREO|FECHA_INGRESO|EDAD|SALARIO|ID_EMPRESA
+1|José|11|a@b|2020-01-01|30|10.5|1
+2|Luz|12|c@d|2020-01-02|32.7|20|9
+3|Leo|13|e@f|2020-01-03|100|20|1
+"""
+COMPANIES = """ID|NOMBRE
+1|Uno
+2|Dos
+"""
+FACTS = """ID_PERSONA|ID_EMPRESA|MONTO|FECHA
+1|2|5.5|2024-01-01
+2|1|6|2024-01-01
+2|7|0|2024-01-02
+3|1|9|2024-01-02
+1|1|-1|2024-01-03
+1|1|err|2024-01-03
+\\N|1|1|2024-01-03
+"""
+
+
+def _deliver(tmp_path, facts=FACTS):
+    texts = {"PERSONA": PEOPLE, "EMPRESA": COMPANIES, "TRANSACCION": facts}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.data").write_bytes(text.encode("iso-8859-1"))
+    return {name: str(tmp_path / f"{name}.data") for name in texts}
+
+
+def _run(lake, files, at="2024-02-01 00:00:00", mode="full"):
+    run_raw(lake, files)
+    run_landing(lake, mode=mode)
+    report = run_curated(lake, at, mode=mode)
+    return report, run_functional(lake, mode=mode)
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake"))
+
+
+def _gold(lake):
+    found = lake.gold().collect()
+    return sorted((r.ID_PERSONA, r.MONTO_TRANSACCION, r.FECHA_TRANSACCION) for r in found)
+
+
+@pytest.mark.parametrize("on", [True, False])
+def test_files_to_gold(lake, tmp_path, ansi, on):
+    ansi(on)
+    report, check = _run(lake, _deliver(tmp_path))
+    assert {r.tabla: (r.origen, r.curated) for r in report.collect()} == {
+        "PERSONA": (3, 2),
+        "EMPRESA": (2, 2),
+        "TRANSACCION": (7, 4),
+    }
+    assert tuple(check.first()) == (4, 3, 0, 2, 1, True)
+    assert lake.curated(PERSONA).where("ID = 2").first().EDAD == 32
+    assert {tuple(r) for r in lake.gold().collect()} == {
+        (1, "José", 30, 10.5, "Uno", 5.5, "Dos", "2024-01-01"),
+        (2, "Luz", 32, 20.0, None, 6.0, "Uno", "2024-01-01"),
+        (2, "Luz", 32, 20.0, None, 0.0, None, "2024-01-02"),
+    }
+
+
+def test_a_second_run_changes_nothing_but_the_audit(lake, tmp_path):
+    files = _deliver(tmp_path)
+    _run(lake, files)
+    first = {spec.name: rows(lake.curated(spec)) for spec in (PERSONA, EMPRESA, TRANSACCION)}
+    gold = rows(lake.gold())
+    _run(lake, files, at="2024-02-02 00:00:00")
+    assert {n: rows(lake.curated(s)) for n, s in zip(first, (PERSONA, EMPRESA, TRANSACCION))} == first
+    assert rows(lake.gold()) == gold
+    assert lake.audit().count() == 6
+    assert lake.audit().select("ejecucion").distinct().count() == 2
+
+
+def test_full_refresh_forgets_and_incremental_keeps(lake, tmp_path):
+    _run(lake, _deliver(tmp_path))
+    head = "ID_PERSONA|ID_EMPRESA|MONTO|FECHA\n"
+    newer = _deliver(tmp_path, head + "1|1|8|2024-01-02\n1|1|7|2024-01-04\n")
+    _run(lake, newer, mode="incremental")
+    assert _gold(lake) == [
+        (1, 5.5, "2024-01-01"),
+        (1, 7.0, "2024-01-04"),
+        (1, 8.0, "2024-01-02"),
+        (2, 6.0, "2024-01-01"),
+    ]
+    _run(lake, newer)
+    assert _gold(lake) == [(1, 7.0, "2024-01-04"), (1, 8.0, "2024-01-02")]
+
+
+def test_validation_off_keeps_rejects(lake, tmp_path):
+    run_raw(lake, _deliver(tmp_path))
+    run_landing(lake)
+    report = run_curated(lake, "t", validate=False)
+    assert {r.calidad_pct for r in report.collect()} == {100.0}
+    assert lake.curated(TRANSACCION).where("MONTO IS NULL").count() == 1
+
+
+def test_exports_of_gold(lake, tmp_path):
+    _run(lake, _deliver(tmp_path))
+    csv_path = tmp_path / "csv"
+    found = run_exports(lake, csv_path=str(csv_path), document_path=str(tmp_path / "j"), parts=1)
+    assert tuple(found.first()) == ("json", 3, 3, True)
+    assert len(list(csv_path.glob("part-*.csv"))) == 1
+
+
+def test_an_empty_gold_is_not_exported(lake, tmp_path):
+    _run(lake, _deliver(tmp_path, "ID_PERSONA|ID_EMPRESA|MONTO|FECHA\n9|9|1|2024-01-01\n"))
+    with pytest.raises(EmptyExport):
+        run_exports(lake, csv_path=str(tmp_path / "csv"), document_path=str(tmp_path / "j"))
+    assert not (tmp_path / "csv").exists()
