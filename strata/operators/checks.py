@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.lookup import lookup
+from strata.operators.lookup import is_small, lookup
 
 # Fixed value: enriched rows below this share of the source raise the loss alert.
 KEPT_SHARE = 0.95
@@ -25,18 +25,14 @@ def step_metrics(df: DataFrame, stage: str) -> DataFrame:
 
 
 def chain_metrics(
-    transaccion: DataFrame,
-    persona: DataFrame,
-    empresa: DataFrame,
-    stages: tuple[str, str, str],
-    strategy: str = "auto",
+    transaccion: DataFrame, persona: DataFrame, empresa: DataFrame, stages: tuple[str, str, str]
 ) -> DataFrame:
     """``step_metrics`` of all three steps from one pass over the fact.
 
     A left lookup never drops a row, it can only repeat one. So the later steps are the
     first step with each row weighted by how often its keys occur in the dimension.
     """
-    matched = _per_person(transaccion, persona, empresa, strategy).where("copies IS NOT NULL")
+    matched = _per_person(transaccion, persona, empresa).where("copies IS NOT NULL")
     weights = (
         ("n", "copies", "amount_n", "amount"),
         ("n", "copies_employed", "amount_n", "amount"),
@@ -66,11 +62,9 @@ def chain_metrics(
     return totals.select(F.inline(F.array(*steps)))
 
 
-def match_report(
-    transaccion: DataFrame, persona: DataFrame, empresa: DataFrame, strategy: str = "auto"
-) -> DataFrame:
+def match_report(transaccion: DataFrame, persona: DataFrame, empresa: DataFrame) -> DataFrame:
     """Why the enriched count differs from the source: rows lost and rows repeated, apart."""
-    per_person = _per_person(transaccion, persona, empresa, strategy)
+    per_person = _per_person(transaccion, persona, empresa)
     found = F.col("copies").isNotNull()
     return per_person.agg(
         F.sum("n").alias("origen"),
@@ -87,19 +81,19 @@ def match_report(
     ).na.fill(0)
 
 
-def _per_person(
-    transaccion: DataFrame, persona: DataFrame, empresa: DataFrame, strategy: str
-) -> DataFrame:
+def _per_person(transaccion: DataFrame, persona: DataFrame, empresa: DataFrame) -> DataFrame:
     """The fact summed per person key, next to how often that key occurs in the dimension.
 
     The sums are combined before the shuffle, so a person holding a third of the fact is one
     row per task by then; both sides are then already partitioned by the key they join on.
-    Merchant keys that occur once have weight 1, so only repeated ones are looked up;
-    ``strategy`` says how.
+    Company keys that occur once have weight 1, so only repeated ones are looked up, and
+    those are broadcast if measured to be few: the fact need not move for them.
     """
     repeated = (
         empresa.where("ID IS NOT NULL").groupBy("ID").agg(F.count("*").alias("k")).where("k > 1")
     )
+    if is_small(repeated):
+        repeated = F.broadcast(repeated)
     weight = F.coalesce("k", F.lit(1))
     amount = F.col("MONTO")
     fact = (
@@ -109,8 +103,6 @@ def _per_person(
             "ID_EMPRESA",
             "ID",
             {"k": "k"},
-            "left",
-            strategy,
         )
         .groupBy("ID_PERSONA")
         .agg(
@@ -131,8 +123,6 @@ def _per_person(
             "ID_EMPRESA",
             "ID",
             {"k": "k"},
-            "left",
-            strategy,
         )
         .groupBy("ID")
         .agg(F.count("*").alias("copies"), F.sum(weight).alias("copies_employed"))

@@ -54,6 +54,13 @@ def with_merchant(step2: DataFrame, empresa: DataFrame, strategy: str = "auto")
     ).drop("ID_EMPRESA_TRANSACCION")
 
 
+def dimensions_fit(persona: DataFrame, empresa: DataFrame) -> bool:
+    """Whether both dimensions, in the columns the steps use, are within the broadcast bound."""
+    return is_small(persona.select("ID", *_PERSON, "ID_EMPRESA")) and is_small(
+        empresa.select("ID", "NOMBRE")
+    )
+
+
 def enrich(
     transaccion: DataFrame, persona: DataFrame, empresa: DataFrame, strategy: str = "auto"
 ) -> DataFrame:

@@ -187,6 +187,23 @@ _TABLE_COUNTS = """SELECT 'persona' AS tabla, count(*) AS filas FROM per
 UNION ALL SELECT 'empresa', count(*) FROM emp
 UNION ALL SELECT 'transaccion', count(*) FROM tr"""
 
+_ALL_TABLES = " UNION ALL ".join(
+    f"SELECT 'strata_check_{layer}' AS capa, '{table}' AS tabla, count(*) AS filas FROM {source}"
+    for layer, table, source in (
+        ("workload", "persona", "per_text"),
+        ("workload", "empresa", "emp"),
+        ("workload", "transaccion", "tr_text"),
+        ("landing", "persona", "per_text"),
+        ("landing", "empresa", "emp"),
+        ("landing", "transaccion", "tr_text"),
+        ("curated", "persona", "per"),
+        ("curated", "empresa", "emp"),
+        ("curated", "transaccion", "tr"),
+        ("curated", "auditoria_calidad", "(VALUES (1), (2), (3))"),
+        ("functional", "transaccion_enriquecida", "s3"),
+    )
+)
+
 _STORAGE = """SELECT tabla, 'parquet' AS formato, 'snappy' AS compresion
 FROM (VALUES ('persona'), ('empresa'), ('transaccion')) AS t(tabla)"""
 
@@ -268,4 +285,5 @@ ORACLES: dict[str, str] = {
     "stages_report": _with(_STAGE_CTES, _report("emp")),
     "stages_integrity": _with(_EVENTS, _INTEGRITY),
     "stages_exports": _with(_EVENTS, _VERIFY),
+    "layer_catalog": _with(_EVENTS, _ALL_TABLES),
 }

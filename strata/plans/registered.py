@@ -20,6 +20,7 @@ from strata.operators.quality import apply_rules, audit_rows, quality_report, ty
 from strata.plans import roles
 from strata.plans.enrichment import enrich, with_employer, with_merchant, with_person
 from strata.plans.stages import Lake, run_curated, run_exports, run_functional, run_landing, run_raw
+from strata.plans.tables import register_layers
 from strata.scratch import scratch_path
 from strata.sinks import catalog
 from strata.sinks.exports import export_csv, export_documents, verify_documents
@@ -434,6 +435,22 @@ def stages_exports(spark, sf_dir):
     )
 
 
+def layer_catalog(spark, sf_dir):
+    """Every table of every layer as the catalog lists it, with its rows."""
+    lake = _all_stages(spark, sf_dir)[0]
+    listed = counted = None
+    for database in register_layers(lake, "strata_check"):
+        tables = catalog.layer_tables(spark, database).select(F.lit(database).alias("capa"), "tabla")
+        listed = tables if listed is None else listed.unionByName(tables)
+        for row in tables.collect():
+            count = spark.table(f"{database}.{row.tabla}").agg(F.count("*").alias("filas"))
+            count = count.select(
+                F.lit(database).alias("capa"), F.lit(row.tabla).alias("tabla"), "filas"
+            )
+            counted = count if counted is None else counted.unionByName(count)
+    return listed.join(counted, ["capa", "tabla"], "left")
+
+
 REGISTERED: dict[str, Query] = {
     "transaccion_enriquecida": transaccion_enriquecida,
     "typed_persona": typed_persona,
@@ -478,4 +495,5 @@ REGISTERED: dict[str, Query] = {
     "stages_report": stages_report,
     "stages_integrity": stages_integrity,
     "stages_exports": stages_exports,
+    "layer_catalog": layer_catalog,
 }

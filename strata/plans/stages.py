@@ -6,22 +6,29 @@ costs at most the current stage, and any stage can be run again with the same re
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.checks import integrity_check
 from strata.operators.layout import lower_names
 from strata.operators.quality import apply_rules, audit_rows, stored_report
-from strata.plans.enrichment import enrich
+from strata.plans.enrichment import dimensions_fit, enrich
 from strata.sinks.exports import export_csv, export_documents, require_rows, verify_documents
 from strata.sinks.layers import append_audit, write_layer, write_raw
+from strata.sources.avsc import read_avsc
 from strata.sources.delimited import read_delimited, read_raw
 from strata.sources.layers import read_layer
 from strata.specs import AUDIT, EMPRESA, ENTITIES, GOLD, GOLD_PARTITION, PERSONA, TRANSACCION, TableSpec
 
+# Layer and table names.
+RAW, LANDING, CURATED, FUNCTIONAL = LAYERS = ("workload", "landing", "curated", "functional")
 GOLD_TABLE = "transaccion_enriquecida"
+AUDIT_TABLE = "auditoria_calidad"
 
 
 @dataclass(frozen=True)
@@ -37,48 +44,68 @@ class Lake:
 
     @property
     def audit_path(self) -> str:
-        return self.path("auditoria", "calidad")
+        return self.path("auditoria", AUDIT_TABLE)
 
     def raw(self, spec: TableSpec) -> DataFrame:
-        return read_raw(self.spark, self.path("raw", spec.name), spec.raw)
+        return read_raw(self.spark, self.path(RAW, spec.name), spec.raw)
 
     def landing(self, spec: TableSpec) -> DataFrame:
-        path = self.path("landing", spec.name)
+        path = self.path(LANDING, spec.name)
         return read_layer(self.spark, path, spec.landing, fmt=self.landing_format)
 
     def curated(self, spec: TableSpec) -> DataFrame:
-        return read_layer(self.spark, self.path("curated", spec.name), spec.curated)
+        return read_layer(self.spark, self.path(CURATED, spec.name), spec.curated)
 
     def gold(self) -> DataFrame:
-        return read_layer(self.spark, self.path("functional", GOLD_TABLE), GOLD)
+        return read_layer(self.spark, self.path(FUNCTIONAL, GOLD_TABLE), GOLD)
 
     def audit(self) -> DataFrame:
         return read_layer(self.spark, self.audit_path, AUDIT)
 
 
-def run_raw(lake: Lake, files: Mapping[str, str], specs=ENTITIES) -> None:
+def run_raw(lake: Lake, files: Mapping[str, str], specs: Sequence[TableSpec] = ENTITIES) -> None:
     """Delivered files (entity name -> path) to the raw layer, all text."""
-    for spec in specs:
+
+    def load(spec: TableSpec) -> None:
         delivered = read_delimited(lake.spark, files[spec.name], spec.raw)
-        write_raw(delivered, lake.path("raw", spec.name))
+        write_raw(delivered, lake.path(RAW, spec.name))
+
+    _together(lake, load, specs)
+
+
+def run_landing(
+    lake: Lake,
+    specs: Sequence[TableSpec] = ENTITIES,
+    *,
+    mode: str = "full",
+    avsc: Mapping[str, str] | None = None,
+) -> None:
+    """Raw to landing: lower-case names, partitioned where the entity says so.
 
+    ``avsc`` (entity name -> path) takes the columns from Avro schema files, as they name
+    and order them; the partition column comes on top.
+    """
 
-def run_landing(lake: Lake, specs=ENTITIES, *, mode: str = "full") -> None:
-    """Raw to landing: lower-case names, partitioned where the entity says so."""
-    for spec in specs:
+    def land(spec: TableSpec) -> None:
+        df = lake.raw(spec)
+        if avsc and spec.name in avsc:
+            declared = read_avsc(lake.spark, avsc[spec.name]).fieldNames()
+            df = df.select(*declared, *([spec.partition_by] if spec.partition_by else []))
         write_layer(
-            lower_names(lake.raw(spec)),
-            lake.path("landing", spec.name),
+            lower_names(df),
+            lake.path(LANDING, spec.name),
             partition_by=spec.partition_by and spec.partition_by.lower(),
             mode=_entity_mode(spec, mode),
             fmt=lake.landing_format,
         )
 
+    _together(lake, land, specs)
+
 
 def run_curated(
     lake: Lake,
     executed_at: str,
-    specs=ENTITIES,
+    specs: Sequence[TableSpec] = ENTITIES,
     *,
     mode: str = "full",
     validate: bool = True,
@@ -87,25 +114,36 @@ def run_curated(
 
     Landing already lies partitioned as curated shall be, so no shuffle is needed.
     """
-    for spec in specs:
+
+    def curate(spec: TableSpec) -> None:
         write_layer(
             apply_rules(lake.landing(spec), spec, validate=validate),
-            lake.path("curated", spec.name),
+            lake.path(CURATED, spec.name),
             partition_by=spec.partition_by,
             mode=_entity_mode(spec, mode),
             clustered=True,
         )
+
+    _together(lake, curate, specs)
     report = stored_report((s, lake.landing(s), lake.curated(s)) for s in specs)
     append_audit(audit_rows(report, executed_at), lake.audit_path)
     return report
 
 
 def run_functional(lake: Lake, *, strategy: str = "broadcast", mode: str = "full") -> DataFrame:
-    """Curated to gold, partitioned by date; returns the integrity check of what was stored."""
-    transaccion = lake.curated(TRANSACCION)
-    gold = enrich(transaccion, lake.curated(PERSONA), lake.curated(EMPRESA), strategy)
-    path = lake.path("functional", GOLD_TABLE)
-    write_layer(gold, path, partition_by=GOLD_PARTITION, mode=mode)
+    """Curated to gold, partitioned by date; returns the integrity check of what was stored.
+
+    With dimensions that fit a broadcast the fact stays where its date partition lies, from
+    the scan to the write, and the stage has no shuffle at all.
+    """
+    transaccion, persona, empresa = (lake.curated(s) for s in (TRANSACCION, PERSONA, EMPRESA))
+    in_place = strategy == "broadcast" and dimensions_fit(persona, empresa)
+    if in_place:
+        gold = enrich(transaccion, F.broadcast(persona), F.broadcast(empresa))
+    else:
+        gold = enrich(transaccion, persona, empresa, strategy)
+    path = lake.path(FUNCTIONAL, GOLD_TABLE)
+    write_layer(gold, path, partition_by=GOLD_PARTITION, mode=mode, clustered=in_place)
     return integrity_check(transaccion, lake.gold())
 
 
@@ -133,3 +171,11 @@ def run_exports(
 def _entity_mode(spec: TableSpec, mode: str) -> str:
     """Dimensions are whole in every delivery, so only partitioned entities grow piecewise."""
     return mode if spec.partition_by else "full"
+
+
+def _together(lake: Lake, job: Callable[[TableSpec], None], specs: Sequence[TableSpec]) -> None:
+    """Run one job per entity at the same time: the small ones fill what the large one leaves."""
+    inherit = inheritable_thread_target(lake.spark)
+    with ThreadPoolExecutor(len(specs)) as pool:
+        for running in [pool.submit(inherit(job), spec) for spec in specs]:
+            running.result()

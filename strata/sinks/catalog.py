@@ -24,10 +24,19 @@ def _literal(text: str) -> str:
 def recreate_database(spark: SparkSession, name: str, location: str) -> str:
     """Full refresh of a layer: drop the database with all it holds and create it empty."""
     spark.sql(f"DROP DATABASE IF EXISTS {_quoted(name)} CASCADE")
-    spark.sql(f"CREATE DATABASE {_quoted(name)} LOCATION {_literal(location)}")
+    return create_database(spark, name, location)
+
+
+def create_database(spark: SparkSession, name: str, location: str) -> str:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)} LOCATION {_literal(location)}")
     return name
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Forget an external table; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(table)}")
+
+
 def create_table(
     spark: SparkSession,
     table: str,
@@ -37,6 +46,7 @@ def create_table(
     partition_by: str | None = None,
     fmt: str = "parquet",
     incremental: bool = True,
+    options: dict[str, str] | None = None,
 ) -> str:
     """An external table, its partition column matched without regard to case and put last.
 
@@ -46,11 +56,15 @@ def create_table(
     ordered = partition_last(schema.fieldNames(), partition_by)
     columns = ", ".join(f"{_quoted(c)} {schema[c].dataType.simpleString()}" for c in ordered)
     partitioned = f"PARTITIONED BY ({_quoted(ordered[-1])})" if partition_by else ""
-    mode = "dynamic" if incremental else "static"
+    settings = {
+        "compression": COMPRESSION,
+        "partitionOverwriteMode": "dynamic" if incremental else "static",
+        **(options or {}),
+    }
+    listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in settings.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({columns}) USING {fmt} "
-        f"OPTIONS ('compression' = '{COMPRESSION}', 'partitionOverwriteMode' = '{mode}') "
-        f"{partitioned} LOCATION {_literal(location)}"
+        f"OPTIONS ({listed}) {partitioned} LOCATION {_literal(location)}"
     )
     return table
 

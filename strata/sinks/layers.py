@@ -4,24 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from strata.sources.delimited import LAYER_ENCODING, NULL_TOKEN, SEPARATOR
+from strata.sources.delimited import DIALECT, LAYER_ENCODING
 from strata.specs import partition_last
 
 COMPRESSION = "snappy"
 MODES = ("full", "incremental")
 
 
-def write_raw(df: DataFrame, path: str, *, header: bool = False, encoding: str = LAYER_ENCODING) -> None:
+def write_raw(
+    df: DataFrame, path: str, *, header: bool = False, encoding: str = LAYER_ENCODING
+) -> None:
     """Delimited text that keeps blanks, empty text and NULL apart; replaces what was there."""
-    df.write.mode("overwrite").csv(
-        path,
-        sep=SEPARATOR,
-        header=header,
-        encoding=encoding,
-        nullValue=NULL_TOKEN,
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    writer = df.write.mode("overwrite").options(**DIALECT)
+    writer.option("header", header).option("encoding", encoding).csv(path)
 
 
 def write_layer(

@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# The text dialect.
-SEPARATOR = "|"
-NULL_TOKEN = r"\N"
+# The text dialect, the same for reading and writing. Unquoted nothing reads as
+# NULL and a quoted "" as empty text, which is also how the writer tells them apart.
+DIALECT = {
+    "sep": "|",
+    "nullValue": r"\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 INPUT_ENCODING = "ISO-8859-1"
 LAYER_ENCODING = "UTF-8"
 
@@ -24,15 +29,8 @@ def read_delimited(
 
     The scan is splittable (one record per line), so a single large file is read in parallel.
     """
-    return spark.read.csv(
-        path,
-        schema=schema,
-        sep=SEPARATOR,
-        header=header,
-        encoding=encoding,
-        nullValue=NULL_TOKEN,
-        emptyValue="",
-    )
+    reader = spark.read.schema(schema).options(**DIALECT)
+    return reader.option("header", header).option("encoding", encoding).csv(path)
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -16,14 +16,15 @@ from tests.test_enrichment import entities  # noqa: F401
 STAGES = ("one", "two", "three")
 
 
-@pytest.mark.parametrize("strategy", ["auto", "broadcast", "shuffle", "isolate"])
-def test_chain_metrics_equal_the_steps(entities, strategy):  # noqa: F811
+@pytest.mark.parametrize("small", [True, False])
+def test_chain_metrics_equal_the_steps(entities, small, monkeypatch):  # noqa: F811
+    monkeypatch.setattr("strata.operators.checks.is_small", lambda df: small)
     transaccion, persona, empresa = entities
     step1 = with_person(transaccion, persona)
     step2 = with_employer(step1, empresa)
     step3 = with_merchant(step2, empresa)
     wanted = [step_metrics(s, n) for s, n in zip((step1, step2, step3), STAGES, strict=True)]
-    found = chain_metrics(transaccion, persona, empresa, STAGES, strategy)
+    found = chain_metrics(transaccion, persona, empresa, STAGES)
     expected = wanted[0].unionByName(wanted[1]).unionByName(wanted[2])
     assert rows(found.withColumn("monto_promedio", F.round("monto_promedio", 9))) == rows(
         expected.withColumn("monto_promedio", F.round("monto_promedio", 9))

@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from strata.plans.enrichment import enrich
 from strata.plans.stages import (
     Lake,
     run_curated,
@@ -8,9 +10,10 @@ from strata.plans.stages import (
     run_landing,
     run_raw,
 )
+from strata.plans.tables import register_layers
 from strata.sinks.exports import EmptyExport
 from strata.specs import EMPRESA, PERSONA, TRANSACCION
-from tests.support import rows
+from tests.support import plan, rows
 
 PEOPLE = """ID|NOMBRE|TELEFONO|CORREO|FECHA_INGRESO|EDAD|SALARIO|ID_EMPRESA
 1|José|11|a@b|2020-01-01|30|10.5|1
@@ -122,3 +125,55 @@ def test_an_empty_gold_is_not_exported(lake, tmp_path):
     with pytest.raises(EmptyExport):
         run_exports(lake, csv_path=str(tmp_path / "csv"), document_path=str(tmp_path / "j"))
     assert not (tmp_path / "csv").exists()
+
+
+def test_layers_as_tables(spark, lake, tmp_path):
+    _run(lake, _deliver(tmp_path))
+    databases = register_layers(lake, "Test")
+    try:
+        assert databases == ["test_workload", "test_landing", "test_curated", "test_functional"]
+        for spec in (PERSONA, EMPRESA, TRANSACCION):
+            assert rows(spark.table(f"test_workload.{spec.name}")) == rows(lake.raw(spec))
+            assert rows(spark.table(f"test_landing.{spec.name}")) == rows(lake.landing(spec))
+            assert rows(spark.table(f"test_curated.{spec.name}")) == rows(lake.curated(spec))
+        assert rows(spark.table("test_functional.TRANSACCION_ENRIQUECIDA")) == rows(lake.gold())
+        assert rows(spark.table("test_curated.auditoria_calidad")) == rows(lake.audit())
+
+        before = spark.table("test_workload.empresa").count()
+        odd = spark.createDataFrame([("", " x|y "), (None, '"q"')], EMPRESA.raw)
+        odd.write.insertInto("test_workload.empresa")
+        assert rows(odd) <= rows(spark.table("test_workload.empresa"))
+
+        _run(lake, _deliver(tmp_path), mode="incremental")
+        register_layers(lake, "test")
+        assert spark.table("test_workload.empresa").count() == before
+        assert spark.table("test_curated.auditoria_calidad").count() == 6
+    finally:
+        for name in databases:
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_columns_from_avro_schema_files(lake, tmp_path):
+    field = '{"name": "%s", "type": ["string", "null"]}'
+    names = ("MONTO", "ID_PERSONA", "ID_EMPRESA")
+    fields = ", ".join(field % n for n in names)
+    path = tmp_path / "transaccion.avsc"
+    path.write_text('{"name": "TRANSACCION", "type": "record", "fields": [%s]}' % fields)
+    run_raw(lake, _deliver(tmp_path))
+    run_landing(lake, avsc={"TRANSACCION": str(path)})
+    stored = lake.spark.read.parquet(lake.path("landing", "transaccion"))
+    assert stored.columns == ["monto", "id_persona", "id_empresa", "fecha"]
+    assert lake.landing(TRANSACCION).count() == 7
+
+
+def test_functional_stage_leaves_the_fact_in_place(spark, lake, tmp_path, setting):
+    """Broadcast hints on the dimensions hold through all three steps: nothing is shuffled."""
+    run_raw(lake, _deliver(tmp_path))
+    run_landing(lake)
+    run_curated(lake, "t")
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    dims = [lake.curated(s) for s in (PERSONA, EMPRESA)]
+    gold = enrich(lake.curated(TRANSACCION), *[F.broadcast(d) for d in dims])
+    text = plan(gold)
+    assert text.count("BroadcastHashJoin") >= 3
+    assert "SortMergeJoin" not in text and "hashpartitioning" not in text
