@@ -104,6 +104,27 @@ def test_full_refresh_forgets_and_incremental_keeps(lake, tmp_path):
     assert _gold(lake) == [(1, 7.0, "2024-01-04"), (1, 8.0, "2024-01-02")]
 
 
+def test_an_incremental_run_can_be_limited_to_dates(lake, tmp_path):
+    _run(lake, _deliver(tmp_path))
+    head = "ID_PERSONA|ID_EMPRESA|MONTO|FECHA\n"
+    run_raw(lake, _deliver(tmp_path, head + "1|1|8|2024-01-02\n1|1|7|2024-01-04\n"))
+    run_landing(lake, mode="incremental")
+    run_curated(lake, "t", mode="incremental", dates=["2024-01-04"])
+    check = run_functional(lake, mode="incremental", dates=["2024-01-04"]).first()
+    # The new amount of 2024-01-02 waits in landing.
+    assert _gold(lake) == [
+        (1, 5.5, "2024-01-01"),
+        (1, 7.0, "2024-01-04"),
+        (2, 0.0, "2024-01-02"),
+        (2, 6.0, "2024-01-01"),
+    ]
+    assert (check.origen, check.enriquecidas) == (5, 4)
+    with pytest.raises(ValueError):
+        run_curated(lake, "t", dates=["2024-01-04"])
+    with pytest.raises(ValueError):
+        run_functional(lake, dates=["2024-01-04"])
+
+
 def test_validation_off_keeps_rejects(lake, tmp_path):
     run_raw(lake, _deliver(tmp_path))
     run_landing(lake)
