@@ -40,7 +40,13 @@ _FIXED_WIDTH = 16
 
 
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
-    """Whether ``df`` is within a broadcast bound, measured by one aggregate over it."""
+    """Whether ``df`` is within a broadcast bound, by measuring it.
+
+    Rows are counted first, which for a stored dimension reads no column; only few rows are
+    then read for their size.
+    """
+    if df.count() >= max_rows:
+        return False
     sizes = [
         F.coalesce(F.octet_length(f.name), F.lit(0)) + _FIXED_WIDTH
         if isinstance(f.dataType, StringType | BinaryType)
@@ -48,8 +54,7 @@ def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_B
         for f in df.schema
     ]
     row_size = reduce(lambda a, b: a + b, sizes, F.lit(_ROW_OVERHEAD))
-    rows, size = df.agg(F.count("*"), F.sum(row_size)).first()
-    return rows < max_rows and (size or 0) <= max_bytes
+    return (df.agg(F.sum(row_size)).first()[0] or 0) <= max_bytes
 
 
 def hot_keys(df: DataFrame, *keys: str) -> dict[str, list]:

@@ -54,30 +54,39 @@ def with_merchant(step2: DataFrame, empresa: DataFrame, strategy: str = "auto")
     ).drop("ID_EMPRESA_TRANSACCION")
 
 
-def dimensions_fit(persona: DataFrame, empresa: DataFrame) -> bool:
-    """Whether both dimensions, in the columns the steps use, are within the broadcast bound."""
-    return is_small(persona.select("ID", *_PERSON, "ID_EMPRESA")) and is_small(
-        empresa.select("ID", "NOMBRE")
+def small_dimensions(persona: DataFrame, empresa: DataFrame) -> tuple[bool, bool]:
+    """Whether each dimension, in the columns the steps use, is within the broadcast bound."""
+    return (
+        is_small(persona.select("ID", *_PERSON, "ID_EMPRESA")),
+        is_small(empresa.select("ID", "NOMBRE")),
     )
 
 
 def enrich(
-    transaccion: DataFrame, persona: DataFrame, empresa: DataFrame, strategy: str = "auto"
+    transaccion: DataFrame,
+    persona: DataFrame,
+    empresa: DataFrame,
+    strategy: str = "auto",
+    small: tuple[bool, bool] | None = None,
 ) -> DataFrame:
     """All three steps in one lazy plan, in the gold column order.
 
     With ``auto`` the steps follow each other, so that Spark sees each dimension's own size.
     Where companies are too many to broadcast, the employer joins the persons beforehand:
     it depends on the person alone, and the fact then meets two shuffled joins in place of
-    three. Both ways give the same rows, duplicate dimension keys included.
+    three. Both ways give the same rows, duplicate dimension keys included. ``small``, from
+    ``small_dimensions``, spares ``broadcast`` its own measuring.
     """
     by_person = by_company = strategy
     employer_first = strategy in ("shuffle", "isolate")
     if strategy == "broadcast":
-        if is_small(empresa.select("ID", "NOMBRE")):
-            empresa, by_company = F.broadcast(empresa), "auto"
-        else:
+        small_person, small_company = small or small_dimensions(persona, empresa)
+        if not small_company:
             employer_first, by_company = True, "isolate"
+        else:
+            empresa, by_company = F.broadcast(empresa), "auto"
+            by_person = "auto" if small_person else "isolate"
+            persona = F.broadcast(persona) if small_person else persona
     if not employer_first:
         step1 = with_person(transaccion, persona, by_person)
         step3 = with_merchant(with_employer(step1, empresa, by_company), empresa, by_company)

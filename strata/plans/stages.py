@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.operators.checks import integrity_check
 from strata.operators.layout import lower_names
 from strata.operators.quality import apply_rules, audit_rows, stored_report
-from strata.plans.enrichment import dimensions_fit, enrich
+from strata.plans.enrichment import enrich, small_dimensions
 from strata.sinks.exports import export_csv, export_documents, require_rows, verify_documents
 from strata.sinks.layers import append_audit, write_layer, write_raw
 from strata.sources.avsc import read_avsc
@@ -150,13 +150,10 @@ def run_functional(
     _require_incremental(mode, dates)
     transaccion, persona, empresa = (lake.curated(s) for s in (TRANSACCION, PERSONA, EMPRESA))
     transaccion = _only(transaccion, TRANSACCION.partition_by, dates)
-    in_place = strategy == "broadcast" and dimensions_fit(persona, empresa)
-    if in_place:
-        gold = enrich(transaccion, F.broadcast(persona), F.broadcast(empresa))
-    else:
-        gold = enrich(transaccion, persona, empresa, strategy)
+    small = small_dimensions(persona, empresa) if strategy == "broadcast" else (False, False)
+    gold = enrich(transaccion, persona, empresa, strategy, small)
     path = lake.path(FUNCTIONAL, GOLD_TABLE)
-    write_layer(gold, path, partition_by=GOLD_PARTITION, mode=mode, clustered=in_place)
+    write_layer(gold, path, partition_by=GOLD_PARTITION, mode=mode, clustered=all(small))
     return integrity_check(lake.curated(TRANSACCION), lake.gold())
 
 

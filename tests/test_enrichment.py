@@ -3,7 +3,7 @@ import pytest
 from strata.operators.lookup import STRATEGIES
 from strata.plans.enrichment import enrich, with_employer, with_merchant, with_person
 from strata.specs import EMPRESA, GOLD, PERSONA, TRANSACCION
-from tests.support import rows
+from tests.support import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -40,9 +40,12 @@ def test_every_strategy_equals_the_three_steps(entities, strategy):
     assert rows(found) == rows(steps.select(*GOLD.fieldNames()))
 
 
-def test_many_companies_join_the_persons_first(entities, monkeypatch):
-    monkeypatch.setattr("strata.plans.enrichment.is_small", lambda df: False)
-    assert rows(enrich(*entities, "broadcast")) == rows(enrich(*entities))
+@pytest.mark.parametrize("small", [(True, True), (False, True), (True, False), (False, False)])
+def test_measured_sizes_change_the_way_and_not_the_rows(entities, small, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = enrich(*entities, "broadcast", small)
+    assert ("SortMergeJoin" in plan(found)) == (not all(small))
+    assert rows(found) == rows(enrich(*entities))
 
 
 def test_step_layouts(entities):

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from strata.plans.enrichment import enrich
 from strata.plans.stages import (
@@ -194,7 +193,6 @@ def test_functional_stage_leaves_the_fact_in_place(spark, lake, tmp_path, settin
     run_curated(lake, "t")
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     dims = [lake.curated(s) for s in (PERSONA, EMPRESA)]
-    gold = enrich(lake.curated(TRANSACCION), *[F.broadcast(d) for d in dims])
-    text = plan(gold)
+    text = plan(enrich(lake.curated(TRANSACCION), *dims, "broadcast"))
     assert text.count("BroadcastHashJoin") >= 3
     assert "SortMergeJoin" not in text and "hashpartitioning" not in text
