@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.lookup import is_small, lookup
@@ -167,5 +167,5 @@ def loss_alert(check: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
     )
 
 
-def _alert(kept_share: float):
+def _alert(kept_share: float) -> Column:
     return F.col("enriquecidas") < F.col("origen") * F.lit(kept_share)

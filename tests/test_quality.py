@@ -60,7 +60,8 @@ def test_validation_can_be_turned_off(spark):
 
 
 def test_typing_takes_lower_case_columns_in_any_order(spark):
-    df = spark.createDataFrame([("2024-01-01", "7", "1", "2")], "fecha STRING, monto STRING, id_persona STRING, id_empresa STRING")
+    columns = ["fecha", "monto", "id_persona", "id_empresa"]
+    df = spark.createDataFrame([("2024-01-01", "7", "1", "2")], columns)
     out = typed(df, TRANSACCION)
     assert out.columns == ["ID_PERSONA", "ID_EMPRESA", "MONTO", "FECHA"]
     assert tuple(out.first()) == ("1", "2", 7.0, "2024-01-01")
