@@ -89,12 +89,35 @@ def _inverse(matrix: np.ndarray) -> np.ndarray:
     return both[:, n:]
 
 
+def greedy_basis(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndarray:
+    """As many patterns as sizes, each filled with the largest sizes that are not used up yet.
+
+    A pattern is used until one of its sizes is gone, so later ones do without that size: the
+    matrix is triangular but for the order of rows, and its solution has no negative part.
+    """
+    left = demand.astype(float)
+    columns = []
+    for _ in sizes:
+        pattern = np.zeros(len(sizes))
+        room = capacity
+        for i in np.flatnonzero(left > 0)[::-1]:
+            pattern[i] = room // sizes[i]
+            room -= int(pattern[i] * sizes[i])
+        inside = np.flatnonzero(pattern)
+        often = left[inside] / pattern[inside]
+        gone = inside[often.argmin()]
+        left[inside] = np.maximum(left[inside] - often.min() * pattern[inside], 1e-12)
+        left[gone] = 0
+        columns.append(pattern)
+    return np.array(columns).T
+
+
 def column_generation(
     sizes: np.ndarray, demand: np.ndarray, capacity: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Patterns and how often each is used, least in sum, to meet ``demand``: the LP optimum.
 
-    Revised simplex from the patterns of one size each. Few pieces of many sizes make it
+    Revised simplex from the patterns of ``greedy_basis``. Few pieces of many sizes make it
     degenerate, so demands are set apart by less than rounding will notice, and columns are
     priced between the current dual prices and the best feasible ones known, which at first are
     a size's share of a sequence. It ends when the sum is within half a sequence or a
@@ -103,8 +126,8 @@ def column_generation(
     """
     n = len(sizes)
     demand = demand + 0.01 * (np.arange(n) + 1) / n
-    basis = np.diag((capacity // sizes).astype(float))
-    inverse = np.diag(1 / np.diag(basis))
+    basis = greedy_basis(sizes, demand, capacity)
+    inverse = _inverse(basis)
     used = _times(inverse, demand)
     feasible = sizes / capacity
     bound = float((feasible * demand).sum())
