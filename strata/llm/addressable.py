@@ -39,12 +39,12 @@ VERSION = 1
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_IDS = 1_000_000
+FILES_A_TASK = 8
 NO_DOCUMENT = -(2**63)
 
 _HEAD = struct.Struct("<4sIIIIQ")
 
 MANIFEST = "part long, seq long, path string, documents long, n_ids long"
-_DECODED = "doc_id long, within long, n_tokens long, ids_crc32 long, path string"
 
 
 # --- one segment ------------------------------------------------------------------------
@@ -221,7 +221,8 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                 yield _document_rows(Segment(read_file(path)), base)
 
     files = stored(manifest.select("path", "start"), "segment-files")
-    spread = files.repartition("path")
+    # A row of the manifest is little to move but much to read, so tasks go by number of files.
+    spread = files.repartition(-(-files.count() // FILES_A_TASK) or 1, "path")
     return spread.mapInArrow(
         decode, "doc_id long, start long, n_tokens long, ids_crc32 long"
     )

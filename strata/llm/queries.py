@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import addressable, packing
+from strata.llm import addressable, exact, itq, packing, quality, simhash, toxicity, warc
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,67 @@ def op2_token_codes(spark, sf_dir):
     return addressable.read_documents(addressable.write_tokens(table(spark, sf_dir, "documents")))
 
 
+def op3_itq_vectors(spark, sf_dir):
+    """Links and components of near-equal vectors within each label."""
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op4_warc(spark, sf_dir):
+    """The pages as archives say after writing and reading them."""
+    return warc.captures(warc.write_archives(table(spark, sf_dir, "pages")))
+
+
+def op7_simhash(spark, sf_dir):
+    """Fingerprints and components of near-equal documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_exact_dedup(spark, sf_dir):
+    """Which of the documents with equal texts stays."""
+    return exact.duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op9_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from the labels."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality(spark, sf_dir):
+    """Quality of every document, voted by labelled neighbours."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_token_codes": op2_token_codes,
+    "op3_itq_vectors": op3_itq_vectors,
+    "op4_warc": op4_warc,
+    "op7_simhash": op7_simhash,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc": """
+      WITH p AS (
+        SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS h FROM pages),
+      bits AS (
+        SELECT page_id, octet_length(body) AS n, h,
+          list_reduce(list_transform(range(32), lambda i:
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+              (instr('0123456789abcdef', substr(h, 1 + (i * 5) // 4, 1)) - 1) * 16 +
+              greatest(instr('0123456789abcdef', substr(h, 2 + (i * 5) // 4, 1)) - 1, 0)
+              ) // CAST(pow(2, 3 - (i * 5) % 4) AS INTEGER) % 32 AS INTEGER), 1)),
+            lambda a, b: a || b) AS digest,
+          min(page_id) OVER (PARTITION BY h) AS first
+        FROM p)
+      SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+      FROM bits""",
+    "op8_exact_dedup": """
+      SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+      FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+}

@@ -51,7 +51,7 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
-class _Known:
+class Known:
     """A bounded memory in two generations: what the older one still serves moves on."""
 
     def __init__(self, most: int):
@@ -81,8 +81,8 @@ class ChunkEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
-        self._chunks = _Known(_CHUNKS_KNOWN)
-        self._words = _Known(_WORDS_KNOWN)
+        self._chunks = Known(_CHUNKS_KNOWN)
+        self._words = Known(_WORDS_KNOWN)
         added = self._tokenizer.get_added_tokens_decoder().values()
         self._special = tuple(t.content for t in added)
 
