@@ -4,6 +4,9 @@ A word stands for its character n-grams, with marks at both ends, and for itself
 into buckets with a vector each. A text is the average of the vectors of all its words' n-grams;
 a linear layer and a softmax give the probability of the label. Vectors and layer are trained
 together. A misspelt word shares most of its n-grams, and so most of its vector, with the word.
+
+Labels are not all right, so each part of the sample is first judged by a model that the other
+parts have trained, and documents whose label it contradicts are not learnt from.
 """
 
 from __future__ import annotations
@@ -25,13 +28,19 @@ from strata.llm.tokens import Known
 PER_CLASS = 2_500
 BUCKETS = 1 << 17
 WIDTH = 8
-EPOCHS = 12
+EPOCHS = 8
+# Parts of the sample that judge each other, and epochs of the models that do.
+PARTS = 3
+CHECK_EPOCHS = 4
 BATCH = 32
 RATE = 0.3
 # Averages are small numbers, so they enter the linear layer scaled by this.
 SCALE = 100.0
 # Buckets that fewer training documents than this touch keep a zero vector.
-LEAST_DOCUMENTS = 4
+LEAST_DOCUMENTS = 5
+# Every text has so many n-grams with a zero vector besides its own, so that few words are not
+# taken for much evidence.
+PADDING = 100
 THRESHOLD = 0.5
 NGRAMS = (3, 4, 5)
 
@@ -70,20 +79,36 @@ def train(texts: list[str], labels: np.ndarray, *, seed: int = 11) -> dict[str,
     place[used] = np.arange(len(used))
     bags = [(place[ids][place[ids] >= 0], part[place[ids] >= 0]) for ids, part in bags]
 
+    part = np.arange(len(bags)) % PARTS
+    agrees = np.zeros(len(bags), bool)
+    for i in range(PARTS):
+        own, other = np.flatnonzero(part == i), np.flatnonzero(part != i)
+        line, bias = _descend(bags, labels, other, len(used), CHECK_EPOCHS, seed)
+        logits = [bias + float((line[ids] * share).sum()) for ids, share in map(bags.__getitem__, own)]
+        agrees[own] = (np.array(logits) >= 0) == labels[own]
+    right = np.flatnonzero(agrees)
+    if len(set(labels[right])) < 2:
+        right = np.arange(len(bags))
+    line, bias = _descend(bags, labels, right, len(used), EPOCHS, seed)
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[used] = line
+    return {"weights": weights, "bias": np.array([bias])}
+
+
+def _descend(bags, labels, chosen, n: int, epochs: int, seed: int) -> tuple[np.ndarray, float]:
+    """Train vectors and layer on the chosen texts: weight of each vector, and the bias."""
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.01, (len(used), WIDTH)).astype(np.float32)
+    vectors = rng.normal(0, 0.01, (n, WIDTH)).astype(np.float32)
     layer = rng.normal(0, 0.5, (WIDTH, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full(a.shape, 1e-6, np.float32) for a in (vectors, layer, bias)]
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        order = rng.permutation(len(bags))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
+        order = rng.permutation(chosen)
         for at in range(0, len(order), BATCH):
-            chosen = order[at : at + BATCH]
-            _step(vectors, layer, bias, seen, [bags[i] for i in chosen], labels[chosen], rate)
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[used] = vectors @ (layer[:, 1] - layer[:, 0]) * SCALE
-    return {"weights": weights, "bias": np.array([bias[1] - bias[0]])}
+            some = order[at : at + BATCH]
+            _step(vectors, layer, bias, seen, [bags[i] for i in some], labels[some], rate)
+    return vectors @ (layer[:, 1] - layer[:, 0]) * SCALE, float(bias[1] - bias[0])
 
 
 def _bag(text: str, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +122,7 @@ def _bag(text: str, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray
             counts[i] += n
     ids = np.fromiter(counts.keys(), np.int64, len(counts))
     share = np.fromiter(counts.values(), np.float32, len(counts))
-    return ids, share / max(float(share.sum()), 1.0)
+    return ids, share / (float(share.sum()) + PADDING)
 
 
 def _step(vectors, layer, bias, seen, bags, labels, rate) -> None:
@@ -105,8 +130,7 @@ def _step(vectors, layer, bias, seen, bags, labels, rate) -> None:
     ids = np.concatenate([b[0] for b in bags])
     share = np.concatenate([b[1] for b in bags])
     of = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
-    hidden = np.zeros((len(bags), vectors.shape[1]), np.float32)
-    np.add.at(hidden, of, vectors[ids] * (share * SCALE)[:, None])
+    hidden = _sums(of, vectors[ids] * (share * SCALE)[:, None], len(bags))
     logits = hidden @ layer + bias
     odds = np.exp(logits - logits.max(axis=1, keepdims=True))
     error = odds / odds.sum(axis=1, keepdims=True)
@@ -114,8 +138,7 @@ def _step(vectors, layer, bias, seen, bags, labels, rate) -> None:
     error /= len(bags)
     back = error @ layer.T
     rows, first = np.unique(ids, return_inverse=True)
-    slope = np.zeros((len(rows), vectors.shape[1]), np.float32)
-    np.add.at(slope, first, back[of] * (share * SCALE)[:, None])
+    slope = _sums(first, back[of] * (share * SCALE)[:, None], len(rows))
     seen[0][rows] += slope**2
     vectors[rows] -= rate * slope / np.sqrt(seen[0][rows])
     for array, gradient, past in ((layer, hidden.T @ error, seen[1]), (bias, error.sum(0), seen[2])):
@@ -123,6 +146,11 @@ def _step(vectors, layer, bias, seen, bags, labels, rate) -> None:
         array -= rate * gradient / np.sqrt(past)
 
 
+def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """The rows of ``values`` added up by the group each belongs to."""
+    return np.stack([np.bincount(of, c, n) for c in values.T], axis=1).astype(np.float32)
+
+
 # --- scoring ----------------------------------------------------------------------------
 
 
@@ -151,7 +179,7 @@ class Scorer:
         if None in values:
             values = [self._value(w) if v is None else v for w, v in zip(found, values, strict=True)]
         total = sum(values)
-        logit = self._bias + (total.real / total.imag if values else 0.0)
+        logit = self._bias + (total.real / (total.imag + PADDING) if values else 0.0)
         return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
 
 
