@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import addressable, exact, itq, packing, quality, simhash, toxicity, warc
+from strata.llm import (
+    addressable,
+    exact,
+    itq,
+    packing,
+    pieces,
+    quality,
+    simhash,
+    toolcalls,
+    toxicity,
+    warc,
+)
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +45,17 @@ def op4_warc(spark, sf_dir):
     return warc.captures(warc.write_archives(table(spark, sf_dir, "pages")))
 
 
+def op5_tool_calls(spark, sf_dir):
+    """The turns of the conversations as calls and results, linked and made canonical."""
+    calls, results = toolcalls.from_conversations(table(spark, sf_dir, "conversations"))
+    return toolcalls.link(calls, results, toolcalls.TOOLS)
+
+
+def op6_sentencepiece(spark, sf_dir):
+    """Ids of the documents, and what they decode to."""
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark, sf_dir):
     """Fingerprints and components of near-equal documents."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -59,6 +81,8 @@ REGISTERED: dict[str, Query] = {
     "op2_token_codes": op2_token_codes,
     "op3_itq_vectors": op3_itq_vectors,
     "op4_warc": op4_warc,
+    "op5_tool_calls": op5_tool_calls,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
@@ -83,6 +107,39 @@ ORACLES: dict[str, str] = {
         CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
         CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
       FROM bits""",
+    "op5_tool_calls": """
+      WITH a AS (
+        SELECT conv_id, turn, arg_min(text, CASE turn % 4
+            WHEN 1 THEN to_json({'query': text, 'limit': length(text)}) ELSE to_json(text) END) AS text
+        FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn),
+      runs AS (
+        SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
+        FROM a),
+      calls AS (
+        SELECT conv_id, turn AS seq, conv_id || '-' || turn AS call_id,
+          row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level,
+          CASE turn % 4 WHEN 1 THEN 'search' WHEN 0 THEN 'translate' ELSE 'reply' END AS name,
+          CASE turn % 4
+            WHEN 1 THEN '{"limit":' || length(text) || ',"query":' || to_json(text) || '}'
+            WHEN 3 THEN '{"text":' || to_json(text) || ',"urgent":' || to_json(conv_id % 2 = 0) || '}'
+            END AS arguments,
+          CASE turn % 4 WHEN 0 THEN 'name: unknown tool'
+            WHEN 2 THEN 'text: missing; urgent: not boolean; words: not allowed' END AS problems
+        FROM runs),
+      results AS (
+        SELECT conv_id || '-' || (turn - 1) AS result_id, min(text) AS result
+        FROM conversations WHERE role <> 'assistant' OR role IS NULL GROUP BY 1),
+      met AS (
+        SELECT * EXCLUDE (call_id, problems), coalesce(call_id, result_id) AS call_id,
+          CASE WHEN call_id IS NULL THEN 'call: missing' ELSE problems END AS problems
+        FROM calls FULL JOIN results ON call_id = result_id)
+      SELECT conv_id, level, seq, call_id, name, result_id IS NOT NULL AS answered, problems,
+        '{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || to_json(call_id) ||
+        ',"level":' || coalesce(CAST(level AS VARCHAR), 'null') ||
+        ',"name":' || coalesce(CAST(to_json(name) AS VARCHAR), 'null') ||
+        ',"result":' || coalesce(CAST(to_json(result) AS VARCHAR), 'null') ||
+        ',"valid":' || CASE WHEN problems IS NULL THEN 'true' ELSE 'false' END || '}' AS message
+      FROM met""",
     "op8_exact_dedup": """
       SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
         doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
