@@ -12,6 +12,7 @@ parts have trained, and documents whose label it contradicts are not learnt from
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections import Counter
 from functools import partial
@@ -191,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict[
 def with_score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     """``docs`` with ``score``, the probability of toxicity of the whole text, empty if null."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scorer = partial(_scorer, shared)
+    scorer = partial(_scorer, uuid.uuid4().hex, shared)
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
@@ -201,15 +202,15 @@ def with_score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     return docs.withColumn("score", score(F.col("text")))
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[str, Scorer] = {}
 
 
-def _scorer(shared) -> Scorer:
+def _scorer(name: str, shared) -> Scorer:
     """The worker's scorer for a model, kept while that model is in use."""
-    if shared.id not in _scorers:
+    if name not in _scorers:
         _scorers.clear()
-        _scorers[shared.id] = Scorer(**shared.value)
-    return _scorers[shared.id]
+        _scorers[name] = Scorer(**shared.value)
+    return _scorers[name]
 
 
 def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
