@@ -262,7 +262,8 @@ def assemble(records: DataFrame) -> DataFrame:
 def captures(manifest: DataFrame) -> DataFrame:
     """Per page what the archives say: page_id, payload_bytes and payload_digest of the full
     payload, record_type, and for revisits the page_id of the response they refer to."""
-    nested = assemble(read_archives(manifest))
+    # Stored, as assembling looks at the records three times.
+    nested = assemble(stored(read_archives(manifest), "records"))
     page_id = F.regexp_extract("metadata.fields", r"pageId: (-?\d+)", 1).try_cast("bigint")
     flat = nested.select(
         page_id.alias("page_id"),
