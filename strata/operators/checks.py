@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.lookup import is_small, lookup
+from strata.operators.lookup import lookup
 
 # Fixed value: enriched rows below this share of the source raise the loss alert.
 KEPT_SHARE = 0.95
 
+# The columns of the metrics.
 _METRICS = ["etapa", "total_registros", "monto_promedio", "monto_min", "monto_max"]
 
 
@@ -84,36 +85,35 @@ def match_report(transaccion: DataFrame, persona: DataFrame, empresa: DataFrame)
 def _per_person(transaccion: DataFrame, persona: DataFrame, empresa: DataFrame) -> DataFrame:
     """The fact summed per person key, next to how often that key occurs in the dimension.
 
-    The sums are combined before the shuffle, so a person holding a third of the fact is one
-    row per task by then; both sides are then already partitioned by the key they join on.
-    Company keys that occur once have weight 1, so only repeated ones are looked up, and
-    those are broadcast if measured to be few: the fact need not move for them.
+    The fact is summed by person and company before anything joins it, and sums are combined
+    before they are shuffled. So a company or a person that holds a third of the fact is a row
+    per pair by then. Company keys that occur once have weight 1, so only repeated ones are
+    looked up.
     """
     repeated = (
         empresa.where("ID IS NOT NULL").groupBy("ID").agg(F.count("*").alias("k")).where("k > 1")
     )
-    if is_small(repeated):
-        repeated = F.broadcast(repeated)
     weight = F.coalesce("k", F.lit(1))
     amount = F.col("MONTO")
+    pairs = transaccion.groupBy("ID_PERSONA", "ID_EMPRESA").agg(
+        F.count("*").alias("rows"),
+        F.count(amount).alias("known"),
+        F.sum(amount).alias("total"),
+        F.min(amount).alias("least"),
+        F.max(amount).alias("greatest"),
+    )
     fact = (
-        lookup(
-            transaccion.select("ID_PERSONA", "ID_EMPRESA", "MONTO"),
-            repeated,
-            "ID_EMPRESA",
-            "ID",
-            {"k": "k"},
-        )
+        lookup(pairs, repeated, "ID_EMPRESA", "ID", {"k": "k"})
         .groupBy("ID_PERSONA")
         .agg(
-            F.count("*").alias("n"),
-            F.sum(weight).alias("n_merchant"),
-            F.count(amount).alias("amount_n"),
-            F.sum(amount).alias("amount"),
-            F.sum(F.when(amount.isNotNull(), weight)).alias("amount_n_merchant"),
-            F.sum(amount * weight).alias("amount_merchant"),
-            F.min(amount).alias("least"),
-            F.max(amount).alias("greatest"),
+            F.sum("rows").alias("n"),
+            F.sum(F.col("rows") * weight).alias("n_merchant"),
+            F.sum("known").alias("amount_n"),
+            F.sum("total").alias("amount"),
+            F.sum(F.col("known") * weight).alias("amount_n_merchant"),
+            F.sum(F.col("total") * weight).alias("amount_merchant"),
+            F.min("least").alias("least"),
+            F.max("greatest").alias("greatest"),
         )
     )
     people = (
@@ -137,22 +137,44 @@ def integrity_check(
 
     Run it over the stored layers: it reads three columns of gold and none of the source.
     """
+    return _integrity(transaccion, enriched, [], kept_share)
+
+
+def integrity_by_date(
+    transaccion: DataFrame, enriched: DataFrame, kept_share: float = KEPT_SHARE
+) -> DataFrame:
+    """The same per date (fecha), so that a date that loses its rows is not lost among others."""
+    return _integrity(
+        transaccion.withColumn("fecha", F.col("FECHA")),
+        enriched.withColumn("fecha", F.col("FECHA_TRANSACCION")),
+        ["fecha"],
+        kept_share,
+    )
+
+
+# Names of the counts, and the columns whose missing values they count.
+_NULLS = {
+    "nulos_nombre": "NOMBRE_PERSONA",
+    "nulos_trabajo": "TRABAJO_PERSONA",
+    "nulos_empresa": "EMPRESA_TRANSACCION",
+}
+
+
+def _integrity(
+    transaccion: DataFrame, enriched: DataFrame, keys: list[str], kept_share: float
+) -> DataFrame:
     zero = F.lit(0).cast("bigint")
-    nulls = {
-        "nulos_nombre": "NOMBRE_PERSONA",
-        "nulos_trabajo": "TRABAJO_PERSONA",
-        "nulos_empresa": "EMPRESA_TRANSACCION",
-    }
-    names = ["origen", "enriquecidas", *nulls]
-    source = transaccion.agg(
+    names = ["origen", "enriquecidas", *_NULLS]
+    source = transaccion.groupBy(*keys).agg(
         F.count("*").alias("origen"), *[zero.alias(n) for n in names if n != "origen"]
     )
-    target = enriched.agg(
+    target = enriched.groupBy(*keys).agg(
         zero.alias("origen"),
         F.count("*").alias("enriquecidas"),
-        *[F.count_if(F.col(c).isNull()).alias(n) for n, c in nulls.items()],
+        *[F.count_if(F.col(c).isNull()).alias(n) for n, c in _NULLS.items()],
     )
-    counts = source.unionByName(target).agg(*[F.sum(n).alias(n) for n in names])
+    counts = source.unionByName(target).groupBy(*keys)
+    counts = counts.agg(*[F.sum(n).alias(n) for n in names])
     return counts.withColumn("alerta", _alert(kept_share))
 
 

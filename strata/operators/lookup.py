@@ -8,7 +8,7 @@ broadcast  Measure the columns needed; broadcast if they are within the bound,
            otherwise go on as ``isolate``.
 shuffle    Force the sort-merge join.
 isolate    Keys holding a large share of the fact join their few dimension rows by
-           broadcast, never crossing the network; the other keys join as in ``auto``.
+           broadcast, and no longer by their key; the other keys join as in ``auto``.
 
 Every strategy gives the same rows. Duplicate dimension keys multiply fact rows in all of them.
 """
@@ -35,6 +35,8 @@ _MOST_HOT = 100
 _TRACKED = 10_000
 
 _KEY = "_lookup_key"
+_HOT_KEY, _HOT_ROW, _COLD_ROW = "_hot_key", "_hot_row", "_cold_row"
+_LANE, _COLD_LANE = "_lane", "_cold_lane"
 _ROW_OVERHEAD = 64
 _FIXED_WIDTH = 16
 
@@ -112,17 +114,34 @@ def _join(fact: DataFrame, right: DataFrame, fact_key: str, how: str) -> DataFra
 def _join_isolated(
     fact: DataFrame, right: DataFrame, fact_key: str, how: str, hot: list
 ) -> DataFrame:
+    """Hot keys meet their dimension rows by broadcast, the others by the usual join.
+
+    The fact is read once and passes both joins: a row with a hot key enters the second one
+    under a lane that no dimension row has, so that its key does not gather it in one task.
+    Lanes come from the row and the number of its input partition, so that they are the same
+    when a task is retried and copies of a row still spread.
+    """
     key = F.col(fact_key)
     values = [v for v in hot if v is not None]
-    apart = F.coalesce(key.isin(values), F.lit(False))
-    if how == "left" and None in hot:
-        # Missing keys match nothing, yet a shuffle would send them all to one partition.
-        apart = apart | key.isNull()
-    elif not values:
-        return _join(fact, right, fact_key, how)
     hot_right = right.where(F.col(_KEY).isin(values))
-    if is_small(hot_right):
-        hot_right = F.broadcast(hot_right)
-    return _join(fact.where(apart), hot_right, fact_key, how).unionByName(
-        _join(fact.where(~apart), right, fact_key, how)
+    if not (values or None in hot) or not is_small(hot_right):
+        return _join(fact, right, fact_key, how)
+    attributes = [c for c in right.columns if c != _KEY]
+    first = hot_right.select(
+        F.col(_KEY).alias(_HOT_KEY), F.struct(*attributes).alias(_HOT_ROW)
+    )
+    # Missing keys match nothing, yet a shuffle would send them all to one partition.
+    apart = F.coalesce(key.isin(values), F.lit(False)) | key.isNull()
+    spread = F.xxhash64(*fact.columns, F.spark_partition_id()).bitwiseOR(F.lit(1))
+    lanes = fact.join(F.broadcast(first), key == F.col(_HOT_KEY), "left").withColumn(
+        _LANE, F.when(apart, spread).otherwise(F.lit(0).cast("bigint"))
+    )
+    second = right.where(~F.col(_KEY).isin(values)).select(
+        _KEY, F.struct(*attributes).alias(_COLD_ROW), F.lit(0).cast("bigint").alias(_COLD_LANE)
     )
+    met = lanes.join(
+        second, (key == F.col(_KEY)) & (F.col(_LANE) == F.col(_COLD_LANE)), "left"
+    ).withColumn(_HOT_ROW, F.coalesce(_HOT_ROW, _COLD_ROW))
+    if how == "inner":
+        met = met.where(F.col(_HOT_ROW).isNotNull())
+    return met.select(*fact.columns, *[F.col(f"{_HOT_ROW}.{c}").alias(c) for c in attributes])

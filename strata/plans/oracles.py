@@ -43,8 +43,9 @@ _PERSONA_ACCEPTED = """per AS (
     AND EDAD BETWEEN 1 AND 99 AND SALARIO BETWEEN 0.01 AND 9999999.99)"""
 
 _EMPRESA = """emp AS (
-  SELECT CAST(n_nationkey AS VARCHAR) AS ID, n_name AS NOMBRE
-  FROM nation WHERE n_regionkey <> 0)"""
+  SELECT CASE WHEN n_regionkey = 0 THEN 'X' ELSE '' END || CAST(n_nationkey AS VARCHAR) AS ID,
+    n_name AS NOMBRE
+  FROM nation)"""
 
 _EMPRESA_DIRTY = """emp_text AS (
   SELECT CASE WHEN s_suppkey % 7 = 3 THEN NULL ELSE CAST(s_suppkey AS VARCHAR) END AS ID,
@@ -188,7 +189,7 @@ UNION ALL SELECT 'empresa', count(*) FROM emp
 UNION ALL SELECT 'transaccion', count(*) FROM tr"""
 
 _ALL_TABLES = " UNION ALL ".join(
-    f"SELECT 'strata_check_{layer}' AS capa, '{table}' AS tabla, count(*) AS filas FROM {source}"
+    f"SELECT '{layer}' AS capa, '{table}' AS tabla, count(*) AS filas FROM {source}"
     for layer, table, source in (
         ("workload", "persona", "per_text"),
         ("workload", "empresa", "emp"),
@@ -204,8 +205,37 @@ _ALL_TABLES = " UNION ALL ".join(
     )
 )
 
-_STORAGE = """SELECT tabla, 'parquet' AS formato, 'snappy' AS compresion
-FROM (VALUES ('persona'), ('empresa'), ('transaccion')) AS t(tabla)"""
+_STORAGE = (
+    f"SELECT *, 'parquet' AS formato, 'snappy' AS compresion FROM ({_TABLE_COUNTS})"
+)
+
+_STORED_TABLES = (
+    f"SELECT *, 'parquet' AS formato, 'snappy' AS compresion, filas > 0 AS hay_archivos "
+    f"FROM ({_ALL_TABLES}) WHERE capa <> 'workload' AND tabla <> 'auditoria_calidad'"
+)
+
+_BY_DATE = f"""SELECT *, {_ALERT} FROM (
+  SELECT fecha, CAST(sum(o) AS BIGINT) AS origen, CAST(sum(e) AS BIGINT) AS enriquecidas,
+    CAST(sum(n) AS BIGINT) AS nulos_nombre, CAST(sum(t) AS BIGINT) AS nulos_trabajo,
+    CAST(sum(m) AS BIGINT) AS nulos_empresa
+  FROM (
+    SELECT FECHA AS fecha, 1 AS o, 0 AS e, 0 AS n, 0 AS t, 0 AS m FROM tr
+    UNION ALL SELECT FECHA_TRANSACCION, 0, 1, CAST(NOMBRE_PERSONA IS NULL AS INTEGER),
+      CAST(TRABAJO_PERSONA IS NULL AS INTEGER), CAST(EMPRESA_TRANSACCION IS NULL AS INTEGER) FROM s3)
+  GROUP BY fecha)"""
+
+_PARTITIONS = """SELECT CASE day(CAST(FECHA_TRANSACCION AS DATE)) WHEN 5 THEN NULL
+    WHEN 3 THEN replace(FECHA_TRANSACCION, '-', '/') ELSE FECHA_TRANSACCION END AS particion,
+  count(*) AS filas, TRUE AS listada, count(*) OVER () AS particiones
+FROM s3 GROUP BY 1"""
+
+_STAGE_METRICS = f"""SELECT *, (SELECT count(*) FROM s3) AS filas_gold,
+  (SELECT count(DISTINCT FECHA_TRANSACCION) FROM s3) AS particiones_gold FROM ({_ALL_METRICS})"""
+
+_REJECTS = f"""SELECT s3.*, c.* FROM (
+    SELECT * FROM s3 WHERE NOT day(CAST(FECHA_TRANSACCION AS DATE)) % 2 = 0) s3
+  CROSS JOIN (SELECT CAST(0 AS BIGINT) AS origen, CAST(0 AS BIGINT) AS enriquecidas,
+    FALSE AS alerta) c"""
 
 _LOWER_PERSONA = """SELECT ID AS id, NOMBRE AS nombre, TELEFONO AS telefono, CORREO AS correo,
   FECHA_INGRESO AS fecha_ingreso, EDAD AS edad, SALARIO AS salario, ID_EMPRESA AS id_empresa
@@ -257,6 +287,7 @@ ORACLES: dict[str, str] = {
     "step_metrics": _with(_FLAGSHIP, _ALL_METRICS),
     "final_metrics": _with(_FLAGSHIP, _metrics("s3", STAGES[-1])),
     "integrity_check": _with(_FLAGSHIP, _INTEGRITY),
+    "integrity_by_date": _with(_EVENTS, _BY_DATE),
     "loss_alert": _with(_FLAGSHIP, _LOSS),
     "match_report": _with(_REPEATED, _MATCH),
     "sample_rows": _with(_FLAGSHIP, _SAMPLE),
@@ -269,16 +300,14 @@ ORACLES: dict[str, str] = {
     "curated_write_read": _with(_EVENT_CTES, "SELECT * FROM tr"),
     "gold_partitioned_write": _with(_EVENTS, _GOLD),
     "catalog_dynamic_overwrite": _with(_EVENT_CTES, _SECOND_WRITE),
-    "partition_distribution": _with(
-        _EVENTS,
-        "SELECT FECHA_TRANSACCION AS particion, count(*) AS filas FROM s3 GROUP BY 1",
-    ),
+    "partition_distribution": _with(_EVENTS, _PARTITIONS),
     "audit_append": _with(_DIRTY, _AUDIT),
     "audit_append_table": _with(_DIRTY, _AUDIT),
     "layer_tables": _with(_DIRTY, _TABLE_COUNTS),
-    "storage_format_check": _STORAGE,
+    "storage_format_check": _with(_DIRTY, _STORAGE),
     "csv_export_roundtrip": _with(_EVENTS, _CSV.format(date="FECHA_TRANSACCION")),
     "csv_export_inferred": _with(_EVENTS, _CSV.format(date="CAST(FECHA_TRANSACCION AS DATE)")),
+    "csv_export_single": _with(_EVENTS, _CSV.format(date="FECHA_TRANSACCION")),
     "document_export_roundtrip": _with(_EVENTS, _GOLD),
     "document_export_verify": _with(_EVENTS, _VERIFY),
     "stages_gold": _with(_EVENTS, _GOLD),
@@ -286,4 +315,8 @@ ORACLES: dict[str, str] = {
     "stages_integrity": _with(_EVENTS, _INTEGRITY),
     "stages_exports": _with(_EVENTS, _VERIFY),
     "layer_catalog": _with(_EVENTS, _ALL_TABLES),
+    "stages_metrics": _with(_EVENTS, _STAGE_METRICS),
+    "storage_report": _with(_EVENTS, _STORED_TABLES),
+    "landing_declared": _with(_PERSON_CTES, "SELECT * FROM per_typed"),
+    "incremental_rejects": _with(_EVENTS, _REJECTS),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions.casts import lenient_int
 from strata.operators.checks import (
     chain_metrics,
+    integrity_by_date,
     integrity_check,
     loss_alert,
     match_report,
@@ -19,19 +22,29 @@ from strata.operators.layout import partition_distribution
 from strata.operators.quality import apply_rules, audit_rows, quality_report, typed
 from strata.plans import roles
 from strata.plans.enrichment import enrich, with_employer, with_merchant, with_person
-from strata.plans.stages import Lake, run_curated, run_exports, run_functional, run_landing, run_raw
+from strata.plans.stages import (
+    STEPS,
+    Lake,
+    functional_metrics,
+    run_curated,
+    run_exports,
+    run_functional,
+    run_landing,
+    run_raw,
+)
+from strata.plans.stages import storage_report as storage_report_of
 from strata.plans.tables import register_layers
 from strata.scratch import scratch_path
 from strata.sinks import catalog
-from strata.sinks.exports import export_csv, export_documents, verify_documents
-from strata.sinks.layers import append_audit, write_layer, write_raw
+from strata.sinks.exports import export_csv, export_documents, export_single_csv, verify_documents
+from strata.sinks.layers import DEFAULT_PARTITION, append_audit, unescaped, write_layer, write_raw
 from strata.sources.delimited import INPUT_ENCODING, read_csv_export, read_raw
 from strata.sources.layers import read_documents, read_layer
 from strata.specs import AUDIT, EMPRESA, ENTITIES, GOLD, GOLD_PARTITION, PERSONA, TRANSACCION
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-STAGES = ("Post-PASO-1", "Post-PASO-2", "Post-PASO-3")
+STAGES = STEPS
 FIRST_RUN = "2024-01-01 00:00:00"
 SECOND_RUN = "2024-01-02 00:00:00"
 
@@ -164,6 +177,12 @@ def integrity_check_query(spark, sf_dir):
     return integrity_check(transaccion, enrich(transaccion, persona, empresa))
 
 
+def integrity_by_date_query(spark, sf_dir):
+    """The check for each date, so that the alert of one is not lost among the others."""
+    transaccion, persona, empresa = _event_entities(spark, sf_dir)
+    return integrity_by_date(transaccion, enrich(transaccion, persona, empresa))
+
+
 def loss_alert_query(spark, sf_dir):
     return loss_alert(integrity_check_query(spark, sf_dir))
 
@@ -279,22 +298,41 @@ def catalog_dynamic_overwrite(spark, sf_dir):
 
 
 def partition_distribution_query(spark, sf_dir):
-    """Rows per date of gold as stored: written by path, registered, repaired, counted."""
+    """Rows per date of gold, as counted and as the catalog lists them, and how many dates.
+
+    Written by path, registered, repaired. One date has characters that folders escape, another
+    is missing; a date that only one side knows would show.
+    """
     database = _database(spark, "strata_partition_check")
     path = scratch_path(spark, "gold")
-    write_layer(enrich(*_event_entities(spark, sf_dir)), path, partition_by=GOLD_PARTITION)
+    day = F.dayofmonth(F.col(GOLD_PARTITION).cast("date"))
+    odd = F.when(day == 3, F.replace(GOLD_PARTITION, F.lit("-"), F.lit("/"))).when(
+        day != 5, F.col(GOLD_PARTITION)
+    )
+    gold = enrich(*_event_entities(spark, sf_dir)).withColumn(GOLD_PARTITION, odd)
+    write_layer(gold, path, partition_by=GOLD_PARTITION)
     name = f"{database}.transaccion_enriquecida"
     catalog.create_table(spark, name, GOLD, path, partition_by=GOLD_PARTITION)
     catalog.register_partitions(spark, name)
+    folder = F.regexp_extract("partition", "=(.*)$", 1)
     listed = catalog.table_partitions(spark, name).select(
-        F.substring_index("partition", "=", -1).alias("particion")
+        F.when(folder != DEFAULT_PARTITION, unescaped(folder)).alias("_listada"),
+        F.lit(True).alias("listada"),
     )
     counted = partition_distribution(spark.table(name), GOLD_PARTITION)
-    return counted.join(listed, "particion").select("particion", "filas")
+    met = counted.join(listed, F.col("particion").eqNullSafe(F.col("_listada")), "full_outer")
+    return met.select(
+        F.coalesce("particion", "_listada").alias("particion"),
+        F.coalesce("filas", F.lit(0)).alias("filas"),
+        F.coalesce("listada", F.lit(False)).alias("listada"),
+        F.lit(listed.count()).cast("bigint").alias("particiones"),
+    )
 
 
 def _database(spark: SparkSession, name: str) -> str:
-    return catalog.recreate_database(spark, name, scratch_path(spark, name))
+    """A database that no other call uses, so that no earlier result changes."""
+    own = f"{name}_{uuid.uuid4().hex}"
+    return catalog.create_database(spark, own, scratch_path(spark, name))
 
 
 def _stored(df, database, table, schema, partition_by=None) -> DataFrame:
@@ -329,7 +367,6 @@ def audit_append_table(spark, sf_dir):
 
 
 def _curated_tables(spark: SparkSession, sf_dir: str, database: str) -> list[str]:
-    _database(spark, database)
     for spec, df in _dirty(spark, sf_dir):
         _stored(
             apply_rules(df, spec), database, spec.name.lower(), spec.curated, spec.partition_by
@@ -339,7 +376,7 @@ def _curated_tables(spark: SparkSession, sf_dir: str, database: str) -> list[str
 
 def layer_tables_query(spark, sf_dir):
     """The tables the catalog lists for a layer, with their row counts."""
-    database = "strata_listing_check"
+    database = _database(spark, "strata_listing_check")
     counts = None
     for name in _curated_tables(spark, sf_dir, database):
         counted = spark.table(f"{database}.{name}").agg(F.count("*").alias("filas"))
@@ -349,14 +386,15 @@ def layer_tables_query(spark, sf_dir):
 
 
 def storage_format_check(spark, sf_dir):
-    """Declared format and codec of each table, and whether its files agree."""
-    database = "strata_storage_check"
+    """Declared format and codec of each table, whether its files agree, and its rows."""
+    database = _database(spark, "strata_storage_check")
     out = None
     for name in _curated_tables(spark, sf_dir, database):
         table = f"{database}.{name}"
         detail = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
         catalog.assert_storage(spark, table, detail["data_type"])
-        row = catalog.storage_format(spark, table)
+        rows = spark.table(table).agg(F.lit(name).alias("tabla"), F.count("*").alias("filas"))
+        row = catalog.storage_format(spark, table).join(rows, "tabla")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -383,6 +421,13 @@ def csv_export_inferred(spark, sf_dir):
     return read_csv_export(spark, f"{path}/part-*.csv", infer=True)
 
 
+def csv_export_single(spark, sf_dir):
+    """One file joined from parts that were written in parallel."""
+    target = f"{scratch_path(spark, 'csv')}.csv"
+    export_single_csv(_gold_layer(spark, sf_dir), scratch_path(spark, "csv-parts"), target)
+    return read_csv_export(spark, target, GOLD)
+
+
 def document_export_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "documents")
     export_documents(_gold_layer(spark, sf_dir), path)
@@ -439,18 +484,74 @@ def layer_catalog(spark, sf_dir):
     """Every table of every layer as the catalog lists it, with its rows."""
     lake = _all_stages(spark, sf_dir)[0]
     listed = counted = None
-    for database in register_layers(lake, "strata_check"):
-        tables = catalog.layer_tables(spark, database).select(F.lit(database).alias("capa"), "tabla")
+    for database in register_layers(lake, f"strata_{uuid.uuid4().hex}"):
+        layer = database.rpartition("_")[2]
+        tables = catalog.layer_tables(spark, database).select(F.lit(layer).alias("capa"), "tabla")
         listed = tables if listed is None else listed.unionByName(tables)
         for row in tables.collect():
             count = spark.table(f"{database}.{row.tabla}").agg(F.count("*").alias("filas"))
             count = count.select(
-                F.lit(database).alias("capa"), F.lit(row.tabla).alias("tabla"), "filas"
+                F.lit(layer).alias("capa"), F.lit(row.tabla).alias("tabla"), "filas"
             )
             counted = count if counted is None else counted.unionByName(count)
     return listed.join(counted, ["capa", "tabla"], "left")
 
 
+def stages_metrics(spark, sf_dir):
+    """Metrics of the steps of the functional stage, with gold's stored rows and partitions."""
+    return _rounded(functional_metrics(_all_stages(spark, sf_dir)[0]))
+
+
+def storage_report(spark, sf_dir):
+    """Format, codec and rows of the tables of landing, curated and gold, and that files hold them."""
+    report = storage_report_of(_all_stages(spark, sf_dir)[0])
+    there = (F.col("archivos") > 0) & (F.col("bytes") > 0)
+    return report.select("capa", "tabla", "formato", "compresion", "filas", there.alias("hay_archivos"))
+
+
+def landing_declared(spark, sf_dir):
+    """Persons landed under an Avro schema file that declares numbers."""
+    lake = _lake(spark, "declared")
+    delivery = scratch_path(spark, "delivery")
+    _deliver(roles.persona_dirty(spark, sf_dir), delivery)
+    run_raw(lake, {"PERSONA": delivery}, [PERSONA])
+    kinds = {"EDAD": "int", "SALARIO": "double"}
+    fields = [{"name": c, "type": ["string", "null"]} for c in PERSONA.columns]
+    fields = [f | {"type": [kinds.get(f["name"], "string"), "null"]} for f in fields]
+    schema = json.dumps({"type": "record", "name": "PERSONA", "fields": fields})
+    file = scratch_path(spark, "persona-avsc")
+    spark.createDataFrame([(schema,)], "value string").coalesce(1).write.text(file)
+    run_landing(lake, [PERSONA], avsc={"PERSONA": file})
+    return typed(lake.landing(PERSONA), PERSONA)
+
+
+def incremental_rejects(spark, sf_dir):
+    """Even days are corrected so that all their rows fail: gold and the check of both runs.
+
+    The rows of gold after the second run, each beside the check that this run returned.
+    """
+    lake = _lake(spark, "rejects")
+    delivered = roles.transaccion_dirty(spark, sf_dir)
+    sources = {"PERSONA": roles.persona(spark, sf_dir), "EMPRESA": roles.empresa(spark, sf_dir)}
+    even = F.dayofmonth(F.col("FECHA").cast("date")) % 2 == 0
+    corrected = delivered.where(even).withColumn("MONTO", F.lit("-1"))
+    for mode, fact in (("full", delivered), ("incremental", corrected)):
+        files = {name: scratch_path(spark, "delivery") for name in (*sources, "TRANSACCION")}
+        for name, df in {**sources, "TRANSACCION": fact}.items():
+            _deliver(df, files[name])
+        run_raw(lake, files)
+        dates = None
+        if mode == "incremental":
+            dates = [r[0] for r in corrected.select("FECHA").distinct().collect()]
+        run_landing(lake, mode=mode)
+        run_curated(lake, FIRST_RUN, mode=mode, dates=dates)
+        check = run_functional(lake, mode=mode, dates=dates)
+    figures = check.first()
+    return lake.gold().select(
+        "*", *[F.lit(figures[c]).alias(c) for c in ("origen", "enriquecidas", "alerta")]
+    )
+
+
 REGISTERED: dict[str, Query] = {
     "transaccion_enriquecida": transaccion_enriquecida,
     "typed_persona": typed_persona,
@@ -470,6 +571,7 @@ REGISTERED: dict[str, Query] = {
     "step_metrics": step_metrics_query,
     "final_metrics": final_metrics,
     "integrity_check": integrity_check_query,
+    "integrity_by_date": integrity_by_date_query,
     "loss_alert": loss_alert_query,
     "match_report": match_report_query,
     "sample_rows": sample_rows,
@@ -489,6 +591,7 @@ REGISTERED: dict[str, Query] = {
     "storage_format_check": storage_format_check,
     "csv_export_roundtrip": csv_export_roundtrip,
     "csv_export_inferred": csv_export_inferred,
+    "csv_export_single": csv_export_single,
     "document_export_roundtrip": document_export_roundtrip,
     "document_export_verify": document_export_verify,
     "stages_gold": stages_gold,
@@ -496,4 +599,8 @@ REGISTERED: dict[str, Query] = {
     "stages_integrity": stages_integrity,
     "stages_exports": stages_exports,
     "layer_catalog": layer_catalog,
+    "stages_metrics": stages_metrics,
+    "storage_report": storage_report,
+    "landing_declared": landing_declared,
+    "incremental_rejects": incremental_rejects,
 }

@@ -6,17 +6,8 @@ The dirty roles add bad numbers, blanks, empty text and missing keys by rule.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
-
-_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its footer is read once per process."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _person(spark: SparkSession, sf_dir: str, age: str, salary: str, employer: str) -> DataFrame:
@@ -57,9 +48,11 @@ def persona_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empresa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations outside region 0 as companies, so that some company keys dangle."""
-    nations = table(spark, sf_dir, "nation").where("n_regionkey <> 0")
-    return nations.selectExpr("CAST(n_nationkey AS STRING) AS ID", "n_name AS NOMBRE")
+    """Nations as companies; those of region 0 under another key, so that some keys dangle."""
+    return table(spark, sf_dir, "nation").selectExpr(
+        "IF(n_regionkey = 0, concat('X', n_nationkey), CAST(n_nationkey AS STRING)) AS ID",
+        "n_name AS NOMBRE",
+    )
 
 
 def empresa_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,13 +13,17 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from strata.operators.checks import integrity_check
+from strata.functions.casts import lenient
+from strata.operators.checks import chain_metrics, integrity_check
+from strata.operators.checks import integrity_by_date as check_by_date
 from strata.operators.layout import lower_names
 from strata.operators.quality import apply_rules, audit_rows, stored_report
 from strata.plans.enrichment import enrich, small_dimensions
 from strata.sinks.exports import export_csv, export_documents, require_rows, verify_documents
-from strata.sinks.layers import append_audit, write_layer, write_raw
+from strata.sinks.catalog import stored_files
+from strata.sinks.layers import append_audit, stored_partitions, write_layer, write_raw
 from strata.sources.avsc import read_avsc
 from strata.sources.delimited import read_delimited, read_raw
 from strata.sources.layers import read_layer
@@ -29,6 +33,8 @@ from strata.specs import AUDIT, EMPRESA, ENTITIES, GOLD, GOLD_PARTITION, PERSONA
 RAW, LANDING, CURATED, FUNCTIONAL = LAYERS = ("workload", "landing", "curated", "functional")
 GOLD_TABLE = "transaccion_enriquecida"
 AUDIT_TABLE = "auditoria_calidad"
+# Labels of the enrichment steps.
+STEPS = ("con_persona", "con_trabajo", "con_comercio")
 
 
 @dataclass(frozen=True)
@@ -82,15 +88,15 @@ def run_landing(
 ) -> None:
     """Raw to landing: lower-case names, partitioned where the entity says so.
 
-    ``avsc`` (entity name -> path) takes the columns from Avro schema files, as they name
-    and order them; the partition column comes on top.
+    ``avsc`` (entity name -> path) holds Avro schema files as contracts: a file has to declare
+    every column of the entity but the partition column, which comes on top, and text that is no
+    value of the declared type becomes NULL; the layer itself stays text.
     """
 
     def land(spec: TableSpec) -> None:
         df = lake.raw(spec)
         if avsc and spec.name in avsc:
-            declared = read_avsc(lake.spark, avsc[spec.name]).fieldNames()
-            df = df.select(*declared, *([spec.partition_by] if spec.partition_by else []))
+            df = as_declared(df, read_avsc(lake.spark, avsc[spec.name]), spec)
         write_layer(
             lower_names(df),
             lake.path(LANDING, spec.name),
@@ -102,6 +108,21 @@ def run_landing(
     _together(lake, land, specs)
 
 
+def as_declared(df: DataFrame, declared: StructType, spec: TableSpec) -> DataFrame:
+    """``df`` with the columns that an Avro schema declares, in its order, as text of its types.
+
+    A column of the entity that it leaves out, and one that the entity has not, are refused.
+    """
+    wanted = {c.lower() for c in spec.columns} - {(spec.partition_by or "").lower()}
+    names = [f.name.lower() for f in declared if f.name.lower() != (spec.partition_by or "").lower()]
+    if set(names) != wanted or len(set(names)) != len(names):
+        raise ValueError(f"the schema of {spec.name} declares {sorted(names)}, not {sorted(wanted)}")
+    own = {c.lower(): c for c in df.columns}
+    kinds = {f.name.lower(): f.dataType for f in declared}
+    columns = [lenient(F.col(own[n]), kinds[n]).cast("string").alias(own[n]) for n in names]
+    return df.select(*columns, *([spec.partition_by] if spec.partition_by else []))
+
+
 def run_curated(
     lake: Lake,
     executed_at: str,
@@ -109,27 +130,39 @@ def run_curated(
     *,
     mode: str = "full",
     validate: bool = True,
-    dates: Sequence[str] | None = None,
+    dates: Sequence[str | None] | None = None,
 ) -> DataFrame:
     """Landing to curated, then the quality report, which is also added to the audit table.
 
     Landing already lies partitioned as curated shall be, so no shuffle is needed. ``dates``
-    limits an incremental run to those partitions, and no others are read.
+    limits an incremental run to those partitions, None for rows without a date, and no others
+    are read or reported. An incremental run answers for all its dates, those of landing if none
+    are given: a date whose rows are all rejected is left without rows.
     """
     _require_incremental(mode, dates)
+    scopes = {s.name: _scope(lake.spark, lake.path(LANDING, s.name), s, mode, dates) for s in specs}
 
     def curate(spec: TableSpec) -> None:
-        landing = _only(lake.landing(spec), spec.partition_by, dates)
+        scope = scopes[spec.name]
+        landing = _only(lake.landing(spec), spec.partition_by, scope)
         write_layer(
             apply_rules(landing, spec, validate=validate),
             lake.path(CURATED, spec.name),
             partition_by=spec.partition_by,
             mode=_entity_mode(spec, mode),
             clustered=True,
+            scope=scope,
         )
 
     _together(lake, curate, specs)
-    report = stored_report((s, lake.landing(s), lake.curated(s)) for s in specs)
+    report = stored_report(
+        (
+            s,
+            _only(lake.landing(s), s.partition_by, scopes[s.name]),
+            _only(lake.curated(s), s.partition_by, scopes[s.name]),
+        )
+        for s in specs
+    )
     append_audit(audit_rows(report, executed_at), lake.audit_path)
     return report
 
@@ -139,22 +172,76 @@ def run_functional(
     *,
     strategy: str = "broadcast",
     mode: str = "full",
-    dates: Sequence[str] | None = None,
+    dates: Sequence[str | None] | None = None,
+    by_date: bool = False,
 ) -> DataFrame:
     """Curated to gold, partitioned by date; returns the integrity check of what was stored.
 
     With dimensions that fit a broadcast the fact stays where its date partition lies, from
     the scan to the write, and the stage has no shuffle at all. ``dates`` limits an
-    incremental run to those partitions; the check still covers the whole layers.
+    incremental run, and its check, to those partitions. As in ``run_curated`` each of them is
+    replaced, even by nothing. ``by_date`` gives the check for each date.
     """
     _require_incremental(mode, dates)
-    transaccion, persona, empresa = (lake.curated(s) for s in (TRANSACCION, PERSONA, EMPRESA))
-    transaccion = _only(transaccion, TRANSACCION.partition_by, dates)
+    curated, persona, empresa = (lake.curated(s) for s in (TRANSACCION, PERSONA, EMPRESA))
+    path = lake.path(CURATED, TRANSACCION.name)
+    scope = _scope(lake.spark, path, TRANSACCION, mode, dates)
+    transaccion = _only(curated, TRANSACCION.partition_by, scope)
     small = small_dimensions(persona, empresa) if strategy == "broadcast" else (False, False)
     gold = enrich(transaccion, persona, empresa, strategy, small)
-    path = lake.path(FUNCTIONAL, GOLD_TABLE)
-    write_layer(gold, path, partition_by=GOLD_PARTITION, mode=mode, clustered=all(small))
-    return integrity_check(lake.curated(TRANSACCION), lake.gold())
+    write_layer(
+        gold,
+        lake.path(FUNCTIONAL, GOLD_TABLE),
+        partition_by=GOLD_PARTITION,
+        mode=mode,
+        clustered=all(small),
+        scope=scope,
+    )
+    check = check_by_date if by_date else integrity_check
+    return check(transaccion, _only(lake.gold(), GOLD_PARTITION, scope))
+
+
+def functional_metrics(lake: Lake, dates: Sequence[str | None] | None = None) -> DataFrame:
+    """What a functional run did, from the stored layers: the metrics of each enrichment step,
+    with the rows and the partitions that gold has (filas_gold, particiones_gold).
+
+    The steps take one pass over the curated fact, gold's figures one over its partition column.
+    """
+    transaccion = _only(lake.curated(TRANSACCION), TRANSACCION.partition_by, dates)
+    steps = chain_metrics(transaccion, lake.curated(PERSONA), lake.curated(EMPRESA), STEPS)
+    gold = _only(lake.gold(), GOLD_PARTITION, dates)
+    per_date = gold.groupBy(GOLD_PARTITION).agg(F.count("*").alias("n"))
+    figures = per_date.agg(F.sum("n").alias("rows"), F.count("*").alias("dates")).first()
+    return steps.select(
+        "*",
+        F.lit(figures["rows"] or 0).cast("bigint").alias("filas_gold"),
+        F.lit(figures["dates"]).cast("bigint").alias("particiones_gold"),
+    )
+
+
+def storage_report(lake: Lake) -> DataFrame:
+    """Format, codec, files, bytes and rows of each table of landing, curated and gold."""
+    tables = [(LANDING, s.name, lake.landing_format, lake.landing(s)) for s in ENTITIES]
+    tables += [(CURATED, s.name, "parquet", lake.curated(s)) for s in ENTITIES]
+    tables.append((FUNCTIONAL, GOLD_TABLE, "parquet", lake.gold()))
+    out = None
+    for layer, name, fmt, stored in tables:
+        files = stored_files(lake.spark, lake.path(layer, name), fmt).agg(
+            F.lit(layer).alias("capa"),
+            F.lit(name.lower()).alias("tabla"),
+            F.lit(fmt).alias("formato"),
+            F.array_join(F.array_sort(F.collect_set("codec")), ",").alias("compresion"),
+            F.coalesce(F.sum("archivos"), F.lit(0)).alias("archivos"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        )
+        rows = stored.agg(
+            F.lit(layer).alias("capa"),
+            F.lit(name.lower()).alias("tabla"),
+            F.count("*").alias("filas"),
+        )
+        row = files.join(rows, ["capa", "tabla"])
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def run_exports(
@@ -183,15 +270,32 @@ def _entity_mode(spec: TableSpec, mode: str) -> str:
     return mode if spec.partition_by else "full"
 
 
-def _require_incremental(mode: str, dates: Sequence[str] | None) -> None:
+def _require_incremental(mode: str, dates: Sequence[str | None] | None) -> None:
     if dates is not None and mode != "incremental":
         raise ValueError("a full run takes all dates")
 
 
-def _only(df: DataFrame, partition_by: str | None, dates: Sequence[str] | None) -> DataFrame:
+def _scope(
+    spark: SparkSession,
+    source: str,
+    spec: TableSpec,
+    mode: str,
+    dates: Sequence[str | None] | None,
+) -> list[str | None] | None:
+    """The dates an incremental run answers for; None where it takes the entity as a whole."""
+    if spec.partition_by is None or mode != "incremental":
+        return None
+    return stored_partitions(spark, source, spec.partition_by) if dates is None else list(dates)
+
+
+def _only(
+    df: DataFrame, partition_by: str | None, dates: Sequence[str | None] | None
+) -> DataFrame:
     if partition_by is None or dates is None:
         return df
-    return df.where(F.col(partition_by).isin(list(dates)))
+    date = F.col(partition_by)
+    named = date.isin([d for d in dates if d is not None])
+    return df.where(named | date.isNull() if None in dates else named)
 
 
 def _together(lake: Lake, job: Callable[[TableSpec], None], specs: Sequence[TableSpec]) -> None:

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.files import join_files
 from strata.sources.layers import read_documents
 
-SINGLE_FILE_ROWS = 10_000_000
-
 
 class EmptyExport(ValueError):
     """Nothing to export."""
@@ -19,26 +18,27 @@ def require_rows(df: DataFrame) -> None:
         raise EmptyExport("the data to export has no rows")
 
 
-def export_csv(
-    df: DataFrame,
-    path: str,
-    *,
-    parts: int | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
-) -> None:
-    """CSV with a header, replacing ``path``; written in parallel unless ``parts`` is given.
+def export_csv(df: DataFrame, path: str, *, parts: int | None = None) -> None:
+    """CSV with a header, replacing ``path``; written in parallel, in ``parts`` files if given.
 
-    ``parts=1`` puts all rows through one task and so is refused above ``single_file_rows``;
-    export in parallel and join the files afterwards instead.
+    Text with a line break is quoted; read it back with the option multiLine.
     """
     if parts is not None:
-        if parts == 1 and df.count() > single_file_rows:
-            raise ValueError(f"more than {single_file_rows} rows for one file; export in parts")
         # Unlike coalesce, this leaves the work before it as parallel as it was.
         df = df.repartition(parts)
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def export_single_csv(df: DataFrame, parts_path: str, target: str) -> None:
+    """One CSV file with a header, at ``target``: parts are written in parallel to
+    ``parts_path`` and then joined by copying their bytes, a block at a time."""
+    df.write.mode("overwrite").option("header", False).csv(parts_path)
+    listed = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*")
+    names = sorted(r["path"] for r in listed.load(parts_path).select("path").collect())
+    quoted = ['"' + c.replace('"', '\\"') + '"' if "," in c else c for c in df.columns]
+    join_files(names, target, (",".join(quoted) + "\n").encode("utf-8"))
+
+
 def export_documents(
     df: DataFrame,
     path: str | None,

@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.sources.delimited import DIALECT, LAYER_ENCODING
 from strata.specs import partition_last
 
 COMPRESSION = "snappy"
 MODES = ("full", "incremental")
+# Fixed value: the folder of rows whose partition value is NULL.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def write_raw(
     df: DataFrame, path: str, *, header: bool = False, encoding: str = LAYER_ENCODING
 ) -> None:
-    """Delimited text that keeps blanks, empty text and NULL apart; replaces what was there."""
+    """Delimited text that keeps blanks, empty text and NULL apart; replaces what was there.
+
+    A line is a row for every reader of the layer, so text must not hold a line break.
+    """
     writer = df.write.mode("overwrite").options(**DIALECT)
     writer.option("header", header).option("encoding", encoding).csv(path)
 
@@ -27,12 +36,15 @@ def write_layer(
     mode: str = "full",
     fmt: str = "parquet",
     clustered: bool = False,
+    scope: Iterable[str | None] | None = None,
     options: dict[str, str] | None = None,
 ) -> None:
     """Write one entity of a layer.
 
     ``full`` replaces the entity; ``incremental`` replaces only the partitions that ``df``
-    holds, as an option of this write and not of the session.
+    holds, as an option of this write and not of the session. ``scope`` names the partition
+    values that an incremental write answers for, NULL among them: those for which ``df`` has
+    no row are left without rows.
 
     A partitioned write first rebalances by the partition column, so that a task does not
     open a file in every partition. Adaptive execution splits a partition value that holds
@@ -44,6 +56,8 @@ def write_layer(
     if mode == "incremental" and partition_by is None:
         raise ValueError("an incremental write needs a partition column")
     out = df.select(*partition_last(df.columns, partition_by))
+    spark, wanted = df.sparkSession, None if scope is None else set(scope)
+    before = _files(spark, path, partition_by, wanted) if mode == "incremental" and wanted else {}
     if partition_by is not None and not clustered:
         out = out.hint("rebalance", partition_by)
     writer = out.write.format(fmt).mode("overwrite").option("compression", COMPRESSION)
@@ -51,6 +65,49 @@ def write_layer(
         overwrite = "dynamic" if mode == "incremental" else "static"
         writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", overwrite)
     writer.options(**(options or {})).save(path)
+    if before:
+        _empty_stale(out.drop(partition_by), path, partition_by, before, wanted, fmt)
+
+
+def stored_partitions(spark: SparkSession, path: str, partition_by: str) -> list[str | None]:
+    """The partition values that have files under ``path``, from the listing alone."""
+    return list({value for value, _ in _listed(spark, path, partition_by)})
+
+
+def _listed(spark: SparkSession, path: str, partition_by: str) -> list[tuple[str | None, str]]:
+    """(partition value, file) under ``path``; values unescaped, the default partition as NULL."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    name = F.regexp_extract("path", rf"(?i)/{partition_by}=([^/]*)/[^/]*$", 1)
+    value = F.when(name != DEFAULT_PARTITION, unescaped(name))
+    rows = reader.option("pathGlobFilter", "part-*").load(path).select(value.alias("value"), "path")
+    return [(r["value"], r["path"]) for r in rows.collect()]
+
+
+def unescaped(name: Column) -> Column:
+    """A partition value from its folder's name, in which %XX stands for a character."""
+    return F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _files(
+    spark: SparkSession, path: str, partition_by: str, wanted: set[str | None]
+) -> dict[str, str | None]:
+    """Files of the wanted partitions; none if nothing has been written yet."""
+    try:
+        listed = _listed(spark, path, partition_by)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {file: value for value, file in listed if value in wanted}
+
+
+def _empty_stale(empty, path, partition_by, before, wanted, fmt) -> None:
+    """Overwrite the folders of partitions whose files a dynamic overwrite left as they were."""
+    spark = empty.sparkSession
+    left = before.keys() & _files(spark, path, partition_by, wanted).keys()
+    for folder in sorted({file.rsplit("/", 1)[0] for file in left}):
+        nothing = spark.createDataFrame([], empty.schema)
+        nothing.write.format(fmt).mode("overwrite").option("compression", COMPRESSION).save(folder)
 
 
 def append_audit(rows: DataFrame, path: str) -> None:

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,15 +12,16 @@ from strata.operators.checks import (
 )
 from strata.operators.layout import partition_distribution
 from strata.plans.enrichment import enrich, with_employer, with_merchant, with_person
-from tests.support import rows
+from tests.support import plan, rows
 from tests.test_enrichment import entities  # noqa: F401
 
 STAGES = ("one", "two", "three")
 
 
 @pytest.mark.parametrize("small", [True, False])
-def test_chain_metrics_equal_the_steps(entities, small, monkeypatch):  # noqa: F811
-    monkeypatch.setattr("strata.operators.checks.is_small", lambda df: small)
+def test_chain_metrics_equal_the_steps(entities, small, setting):  # noqa: F811
+    if not small:
+        setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     transaccion, persona, empresa = entities
     step1 = with_person(transaccion, persona)
     step2 = with_employer(step1, empresa)
@@ -79,3 +82,19 @@ def test_integrity_of_nothing(spark):
 def test_partition_distribution_counts_the_missing_date(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,)], "FECHA STRING")
     assert {tuple(r) for r in partition_distribution(df, "FECHA").collect()} == {("a", 2), (None, 1)}
+
+
+def test_metrics_sum_the_fact_before_they_look_companies_up(spark, setting):
+    """So a company that holds half of the fact is a row per person by then."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    fact = spark.range(1000).selectExpr(
+        "CAST(id % 10 AS STRING) AS ID_PERSONA",
+        "IF(id % 2 = 0, 'hot', CAST(id AS STRING)) AS ID_EMPRESA",
+        "CAST(id AS DOUBLE) AS MONTO",
+    )
+    persons = spark.range(10).selectExpr("CAST(id AS STRING) AS ID", "'hot' AS ID_EMPRESA")
+    companies = spark.sql("SELECT 'hot' AS ID, 'n' AS NOMBRE UNION ALL SELECT 'hot', 'm'")
+    report = match_report(fact, persons, companies)
+    assert tuple(report.first()) == (1000, 0, 0, 500 * 4 + 500 * 2 - 1000)
+    # Summed per task before the shuffle and again after it, and only then looked up.
+    assert len(re.findall(r"Keys \[2\]: \[ID_PERSONA#\d+, ID_EMPRESA#\d+\]", plan(report))) == 2

@@ -2,7 +2,13 @@ import datetime as dt
 
 import pytest
 
-from strata.sinks.exports import EmptyExport, export_csv, export_documents, verify_documents
+from strata.sinks.exports import (
+    EmptyExport,
+    export_csv,
+    export_documents,
+    export_single_csv,
+    verify_documents,
+)
 from strata.sources.delimited import read_csv_export
 from strata.sources.layers import read_documents
 from strata.specs import GOLD
@@ -40,14 +46,20 @@ def test_inferred_types(spark, gold, tmp_path):
     assert back.where("ID_PERSONA = 1").first().FECHA_TRANSACCION == dt.date(2024, 1, 1)
 
 
+def test_one_csv_file_from_parallel_parts(spark, gold, tmp_path):
+    target = str(tmp_path / "one.csv")
+    export_single_csv(gold.repartition(3), str(tmp_path / "parts"), target)
+    assert len(list((tmp_path / "parts").glob("part-*.csv"))) > 1
+    export_csv(gold, str(tmp_path / "folder"))
+    assert rows(read_csv_export(spark, target, GOLD)) == rows(
+        read_csv_export(spark, str(tmp_path / "folder"), GOLD)
+    )
+
+
 def test_number_of_csv_files(spark, gold, tmp_path):
-    export_csv(gold, str(tmp_path / "one"), parts=1)
-    assert len(list((tmp_path / "one").glob("part-*.csv"))) == 1
     many = gold.sparkSession.range(1000)
     export_csv(many, str(tmp_path / "three"), parts=3)
     assert len(list((tmp_path / "three").glob("part-*.csv"))) == 3
-    with pytest.raises(ValueError):
-        export_csv(gold, str(tmp_path / "no"), parts=1, single_file_rows=2)
 
 
 def test_documents_keep_types_and_are_verified(spark, gold, tmp_path):

@@ -87,3 +87,25 @@ def test_bad_arguments(skewed, dimension):
         lookup(skewed, dimension, "k", "ID", {}, "left", "guess")
     with pytest.raises(ValueError):
         lookup(skewed, dimension, "k", "ID", {}, "outer")
+
+
+def test_isolated_lookups_read_the_fact_once(spark, tmp_path, setting):
+    """Both keys hot, no automatic broadcast: one scan of the fact, and rows as of a plain join."""
+    fact = spark.range(4000).selectExpr(
+        "IF(id % 2 = 0, 'a', CAST(id % 50 AS STRING)) AS k1",
+        "IF(id % 3 = 0, NULL, IF(id % 3 = 1, 'b', CAST(id % 40 AS STRING))) AS k2",
+        "id AS v",
+    )
+    fact.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    dimension = spark.range(30).selectExpr("CAST(id AS STRING) AS ID", "CAST(id AS STRING) AS N")
+    dimension = dimension.union(spark.sql("VALUES ('a', 'x'), ('a', 'y'), ('b', 'z')"))
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def both(strategy):
+        one = lookup(fact, dimension, "k1", "ID", {"N": "n1"}, "inner", strategy)
+        return lookup(one, dimension, "k2", "ID", {"N": "n2"}, "left", strategy)
+
+    assert rows(both("isolate")) == rows(both("auto"))
+    text = plan(both("isolate"))
+    assert len([x for x in text.splitlines() if x.startswith("Location") and "/fact]" in x]) == 1

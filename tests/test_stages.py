@@ -117,7 +117,8 @@ def test_an_incremental_run_can_be_limited_to_dates(lake, tmp_path):
         (2, 0.0, "2024-01-02"),
         (2, 6.0, "2024-01-01"),
     ]
-    assert (check.origen, check.enriquecidas) == (5, 4)
+    # The check covers the dates of the run.
+    assert (check.origen, check.enriquecidas) == (1, 1)
     with pytest.raises(ValueError):
         run_curated(lake, "t", dates=["2024-01-04"])
     with pytest.raises(ValueError):
@@ -173,6 +174,39 @@ def test_layers_as_tables(spark, lake, tmp_path):
             spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
+def test_corrected_dates_are_replaced_even_by_nothing(lake, tmp_path):
+    """A date whose rows are all rejected, a missing one and one that folders escape."""
+    head = "ID_PERSONA|ID_EMPRESA|MONTO|FECHA\n"
+    dates = ("2024-01-01", "2024/01/05", "")
+    _run(lake, _deliver(tmp_path, head + "".join(f"1|1|5|{d}\n" for d in dates)))
+    assert lake.gold().count() == 3
+    wrong = _deliver(tmp_path, head + "".join(f"1|1|-5|{d}\n" for d in dates))
+    run_raw(lake, wrong)
+    run_landing(lake, mode="incremental")
+    for some in (["2024-01-01"], ["2024/01/05", None]):
+        run_curated(lake, "t", mode="incremental", dates=some)
+        report = run_functional(lake, mode="incremental", dates=some).first()
+        assert (report.origen, report.enriquecidas) == (0, 0)
+    assert lake.curated(TRANSACCION).isEmpty() and lake.gold().isEmpty()
+    by_date = run_functional(lake, by_date=True)
+    assert by_date.columns[0] == "fecha"
+
+
+def test_an_incremental_run_reads_only_its_dates(lake, tmp_path):
+    _run(lake, _deliver(tmp_path))
+    check = run_functional(lake, mode="incremental", dates=["2024-01-02"])
+    assert plan(check).count("PartitionFilters: [isnotnull(FECHA") == 2
+
+
+def test_an_avro_schema_has_to_declare_every_column(lake, tmp_path):
+    path = tmp_path / "empresa.avsc"
+    field = '{"name": "ID", "type": ["string", "null"]}'
+    path.write_text('{"name": "EMPRESA", "type": "record", "fields": [%s]}' % field)
+    run_raw(lake, _deliver(tmp_path))
+    with pytest.raises(ValueError):
+        run_landing(lake, avsc={"EMPRESA": str(path)})
+
+
 def test_columns_from_avro_schema_files(lake, tmp_path):
     field = '{"name": "%s", "type": ["string", "null"]}'
     names = ("MONTO", "ID_PERSONA", "ID_EMPRESA")
