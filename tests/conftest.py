@@ -1,6 +1,12 @@
-import pytest
+import os
 
-from tests.support import session
+# Before anything loads numpy: threads of its linear algebra can be lost once a JVM has been
+# started from this process, and calls into them then never return.
+os.environ.setdefault("OMP_NUM_THREADS", "1")
+
+import pytest  # noqa: E402
+
+from tests.support import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
