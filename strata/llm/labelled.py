@@ -59,5 +59,8 @@ def fit_in_task(
 
     ordered = sample.select("text", "label", "_id").repartition(1).sortWithinPartitions("_id")
     row = ordered.mapInArrow(run, "model binary").first()
+    if row is None:
+        # An empty sample may have no partition at all.
+        return fit([], np.zeros(0, np.int64))
     with np.load(io.BytesIO(bytes(row["model"]))) as arrays:
         return dict(arrays)
