@@ -31,10 +31,10 @@ UNKNOWN_PENALTY = 10.0
 
 _WORD = re.compile(r" +[^ ]*")
 # Words a worker remembers, and the longest of them.
-_WORDS_KNOWN = 400_000
+_WORDS_KNOWN = 200_000
 _LONGEST_KNOWN = 40
 # Characters of text whose words are sorted together; a longer text is sorted alone.
-_CHARS_AT_ONCE = 2_000_000
+_CHARS_AT_ONCE = 1_000_000
 
 
 class PieceCodec:

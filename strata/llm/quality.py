@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strata.llm.labelled import fit_in_task, held_out, training_sample
 
 # At most so many labelled documents of each class are broadcast.
-PER_CLASS = 1_500
+PER_CLASS = 1_000
 TERMS = 1 << 12
 LATENT = 32
 NEIGHBOURS = 15

@@ -21,8 +21,8 @@ ID_TYPE = np.dtype("<u4")
 
 # Chunks (words) that one generation of what a worker remembers holds; there are two at a
 # time, so that frequent ones stay. The longest remembered, in bytes.
-_CHUNKS_KNOWN = 300_000
-_WORDS_KNOWN = 150_000
+_CHUNKS_KNOWN = 150_000
+_WORDS_KNOWN = 80_000
 _LONGEST_KNOWN = 48
 
 # How the tokenizer splits, for chunks of printable ASCII and Latin-1 letters.

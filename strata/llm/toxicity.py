@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections import Counter
 from functools import partial
 
@@ -46,7 +47,7 @@ THRESHOLD = 0.5
 NGRAMS = (3, 4, 5)
 
 _WORD = re.compile(r"\w+")
-_WORDS_KNOWN = 200_000
+_WORDS_KNOWN = 100_000
 _LONGEST_KNOWN = 40
 
 
@@ -72,7 +73,7 @@ def train(texts: list[str], labels: np.ndarray, *, seed: int = 11) -> dict[str,
     if share in (0.0, 1.0):
         bias = np.array([20.0 if share else -20.0])
         return {"weights": np.zeros(BUCKETS, np.float32), "bias": bias}
-    known: dict[str, list[int]] = {}
+    known: dict[str, array] = {}
     bags = [_bag(t, known) for t in texts]
     touched = np.bincount(np.concatenate([ids for ids, _ in bags]), minlength=BUCKETS)
     used = np.flatnonzero(touched >= LEAST_DOCUMENTS)
@@ -112,18 +113,24 @@ def _descend(bags, labels, chosen, n: int, epochs: int, seed: int) -> tuple[np.n
     return vectors @ (layer[:, 1] - layer[:, 0]) * SCALE, float(bias[1] - bias[0])
 
 
-def _bag(text: str, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _bag(text: str, known: dict[str, array]) -> tuple[np.ndarray, np.ndarray]:
     """A text's buckets and the share of each in its average."""
-    counts: Counter = Counter()
-    for word, n in Counter(words(text)).items():
+    counts = Counter(words(text))
+    if not counts:
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+    if len(known) > _WORDS_KNOWN:
+        known.clear()
+    own = []
+    for word in counts:
         ids = known.get(word)
         if ids is None:
-            ids = known[word] = buckets(word)
-        for i in ids:
-            counts[i] += n
-    ids = np.fromiter(counts.keys(), np.int64, len(counts))
-    share = np.fromiter(counts.values(), np.float32, len(counts))
-    return ids, share / (float(share.sum()) + PADDING)
+            ids = known[word] = array("i", buckets(word))
+        own.append(ids)
+    often = np.repeat(list(counts.values()), [len(ids) for ids in own])
+    total = np.bincount(np.concatenate(own), often, BUCKETS)
+    ids = np.flatnonzero(total)
+    share = total[ids] / (often.sum() + PADDING)
+    return ids.astype(np.int32), share.astype(np.float32)
 
 
 def _step(vectors, layer, bias, seen, bags, labels, rate) -> None:

@@ -16,7 +16,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
 
 
-def _corpus(n=400):
+def _corpus(n=800):
     rng = random.Random(12)
     words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(600)]
     docs, labels = [], []
