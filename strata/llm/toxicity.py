@@ -27,13 +27,13 @@ from strata.llm.labelled import fit_in_task, held_out, training_sample
 from strata.llm.tokens import Known
 
 # At most so many labelled documents of each class are learnt from.
-PER_CLASS = 2_500
+PER_CLASS = 1_500
 BUCKETS = 1 << 17
 WIDTH = 8
-EPOCHS = 8
+EPOCHS = 5
 # Parts of the sample that judge each other, and epochs of the models that do.
 PARTS = 3
-CHECK_EPOCHS = 4
+CHECK_EPOCHS = 3
 BATCH = 32
 RATE = 0.3
 # Averages are small numbers, so they enter the linear layer scaled by this.
@@ -145,13 +145,14 @@ def _step(vectors, layer, bias, seen, bags, labels, rate) -> None:
     error[np.arange(len(bags)), labels] -= 1
     error /= len(bags)
     back = error @ layer.T
-    rows, first = np.unique(ids, return_inverse=True)
-    slope = _sums(first, back[of] * (share * SCALE)[:, None], len(rows))
+    slope = _sums(ids, back[of] * (share * SCALE)[:, None], len(vectors))
+    rows = np.flatnonzero(np.bincount(ids, minlength=len(vectors)))
+    slope = slope[rows]
     seen[0][rows] += slope**2
     vectors[rows] -= rate * slope / np.sqrt(seen[0][rows])
-    for array, gradient, past in ((layer, hidden.T @ error, seen[1]), (bias, error.sum(0), seen[2])):
+    for weights, gradient, past in ((layer, hidden.T @ error, seen[1]), (bias, error.sum(0), seen[2])):
         past += gradient**2
-        array -= rate * gradient / np.sqrt(past)
+        weights -= rate * gradient / np.sqrt(past)
 
 
 def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
