@@ -34,6 +34,8 @@ EPOCHS = 5
 # Parts of the sample that judge each other, and epochs of the models that do.
 PARTS = 3
 CHECK_EPOCHS = 3
+# A small sample is gone over more often, until it has made so many steps.
+LEAST_STEPS = 300
 BATCH = 32
 RATE = 0.3
 # Averages are small numbers, so they enter the linear layer scaled by this.
@@ -88,9 +90,9 @@ def train(texts: list[str], labels: np.ndarray, *, seed: int = 11) -> dict[str,
         line, bias = _descend(bags, labels, other, len(used), CHECK_EPOCHS, seed)
         logits = [bias + float((line[ids] * share).sum()) for ids, share in map(bags.__getitem__, own)]
         agrees[own] = (np.array(logits) >= 0) == labels[own]
+    # Models that contradict half of a class know too little to judge it.
+    agrees |= np.array([agrees[labels == c].mean() < 0.5 for c in (0, 1)])[labels]
     right = np.flatnonzero(agrees)
-    if len(set(labels[right])) < 2:
-        right = np.arange(len(bags))
     line, bias = _descend(bags, labels, right, len(used), EPOCHS, seed)
     weights = np.zeros(BUCKETS, np.float32)
     weights[used] = line
@@ -104,6 +106,7 @@ def _descend(bags, labels, chosen, n: int, epochs: int, seed: int) -> tuple[np.n
     layer = rng.normal(0, 0.5, (WIDTH, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full(a.shape, 1e-6, np.float32) for a in (vectors, layer, bias)]
+    epochs = max(epochs, -(-LEAST_STEPS * BATCH // max(len(chosen), 1)))
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
         order = rng.permutation(chosen)
