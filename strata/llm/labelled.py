@@ -22,6 +22,7 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """(text, label) of at most ``per_class`` labelled documents of each class, none held out.
 
+    Both classes are taken at one rate, so that their ratio is that of all labels at any size.
     Those of least hash of the id are taken, so that the sample is the same every time. Of rows
     of ``labels`` that share a doc_id the smaller label counts; null labels are left out.
     """
@@ -30,9 +31,18 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         .where(F.col("label").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
         .groupBy("_id")
         .agg(F.min("label").cast("int").alias("label"))
+        # Labels of no document would only take places.
+        .join(docs.select(F.col("doc_id").cast("bigint").alias("_id")), "_id", "left_semi")
     )
     order = (F.xxhash64("_id"), F.col("_id"))
-    some = [known.where(F.col("label") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    rate = min(1.0, per_class / max(sizes.values(), default=1))
+    # A class that is there at all is not rounded away.
+    bounds = [min(sizes.get(c, 0), max(1, round(rate * sizes.get(c, 0)))) for c in (0, 1)]
+    some = [
+        known.where(F.col("label") == c).orderBy(*order).limit(bound)
+        for c, bound in enumerate(bounds)
+    ]
     chosen = some[0].unionByName(some[1])
     found = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").join(
         # Bounded: two classes of at most per_class rows.

@@ -56,6 +56,13 @@ def test_samples_are_bounded_and_hold_nothing_that_is_held_out(spark, corpus):
     assert training_sample(*corpus, "toxic", 30).collect() == training_sample(*corpus, "toxic", 30).collect()
 
 
+@pytest.mark.parametrize("label", ["quality", "toxic"])
+def test_samples_keep_the_ratio_of_the_classes(spark, corpus, label):
+    whole, some = (Counter(r.label for r in training_sample(*corpus, label, n).collect()) for n in (10_000, 60))
+    assert max(some.values()) == 60
+    assert abs(some[1] / some[0] / (whole[1] / whole[0]) - 1) < 0.1
+
+
 @pytest.mark.parametrize("module, label", [(quality, "quality"), (toxicity, "toxic")])
 def test_held_out_accuracy_and_odd_rows(spark, corpus, module, label):
     docs, labels = corpus
