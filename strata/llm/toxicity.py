@@ -30,9 +30,9 @@ from strata.llm.tokens import Known
 PER_CLASS = 10_000
 BUCKETS = 1 << 17
 WIDTH = 8
-EPOCHS = 5
+EPOCHS = 8
 # A small sample is gone over more often, until it has made so many steps.
-LEAST_STEPS = 300
+LEAST_STEPS = 1_200
 BATCH = 32
 RATE = 0.3
 # Averages are small numbers, so they enter the linear layer scaled by this.
@@ -74,11 +74,15 @@ def train(texts: list[str], labels: np.ndarray, *, seed: int = 11) -> dict[str,
         return {"weights": np.zeros(BUCKETS, np.float32), "bias": bias}
     known: dict[str, array] = {}
     bags = [_bag(t, known) for t in texts]
-    touched = np.bincount(np.concatenate([ids for ids, _ in bags]), minlength=BUCKETS)
+    touched = np.zeros(BUCKETS, np.int64)
+    for ids, _ in bags:
+        touched[ids] += 1
     used = np.flatnonzero(touched >= LEAST_DOCUMENTS)
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
-    bags = [(place[ids][place[ids] >= 0], part[place[ids] >= 0]) for ids, part in bags]
+    for i, (ids, part) in enumerate(bags):
+        kept = place[ids] >= 0
+        bags[i] = place[ids][kept], part[kept]
 
     line, bias = _descend(bags, labels, np.arange(len(bags)), len(used), EPOCHS, seed)
     weights = np.zeros(BUCKETS, np.float32)
@@ -94,12 +98,19 @@ def _descend(bags, labels, chosen, n: int, epochs: int, seed: int) -> tuple[np.n
     bias = np.zeros(2, np.float32)
     seen = [np.full(a.shape, 1e-6, np.float32) for a in (vectors, layer, bias)]
     epochs = max(epochs, -(-LEAST_STEPS * BATCH // max(len(chosen), 1)))
+    # The texts of a step as rows over all vectors, empty again after it.
+    grid = np.zeros((BATCH, n), np.float32)
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
         order = rng.permutation(chosen)
         for at in range(0, len(order), BATCH):
             some = order[at : at + BATCH]
-            _step(vectors, layer, bias, seen, [bags[i] for i in some], labels[some], rate)
+            rows = grid[: len(some)]
+            for row, i in zip(rows, some, strict=True):
+                row[bags[i][0]] = bags[i][1] * SCALE
+            _step(vectors, layer, bias, seen, rows, labels[some], rate)
+            for row, i in zip(rows, some, strict=True):
+                row[bags[i][0]] = 0
     return vectors @ (layer[:, 1] - layer[:, 0]) * SCALE, float(bias[1] - bias[0])
 
 
@@ -123,31 +134,18 @@ def _bag(text: str, known: dict[str, array]) -> tuple[np.ndarray, np.ndarray]:
     return ids.astype(np.int32), share.astype(np.float32)
 
 
-def _step(vectors, layer, bias, seen, bags, labels, rate) -> None:
+def _step(vectors, layer, bias, seen, rows, labels, rate) -> None:
     """One step of Adagrad over some texts, all parameters at once."""
-    ids = np.concatenate([b[0] for b in bags])
-    share = np.concatenate([b[1] for b in bags])
-    of = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
-    hidden = _sums(of, vectors[ids] * (share * SCALE)[:, None], len(bags))
+    hidden = rows @ vectors
     logits = hidden @ layer + bias
     odds = np.exp(logits - logits.max(axis=1, keepdims=True))
     error = odds / odds.sum(axis=1, keepdims=True)
-    error[np.arange(len(bags)), labels] -= 1
-    error /= len(bags)
-    back = error @ layer.T
-    slope = _sums(ids, back[of] * (share * SCALE)[:, None], len(vectors))
-    rows = np.flatnonzero(np.bincount(ids, minlength=len(vectors)))
-    slope = slope[rows]
-    seen[0][rows] += slope**2
-    vectors[rows] -= rate * slope / np.sqrt(seen[0][rows])
-    for weights, gradient, past in ((layer, hidden.T @ error, seen[1]), (bias, error.sum(0), seen[2])):
-        past += gradient**2
-        weights -= rate * gradient / np.sqrt(past)
-
-
-def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """The rows of ``values`` added up by the group each belongs to."""
-    return np.stack([np.bincount(of, c, n) for c in values.T], axis=1).astype(np.float32)
+    error[np.arange(len(rows)), labels] -= 1
+    error /= len(rows)
+    slopes = (rows.T @ (error @ layer.T), hidden.T @ error, error.sum(0))
+    for weights, slope, past in zip((vectors, layer, bias), slopes, seen, strict=True):
+        past += slope**2
+        weights -= rate * slope / np.sqrt(past)
 
 
 # --- scoring ----------------------------------------------------------------------------

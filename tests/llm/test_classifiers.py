@@ -71,13 +71,25 @@ def test_held_out_accuracy_and_odd_rows(spark, corpus, module, label):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= module.THRESHOLD) for r in found)
     truth = {r.doc_id: r[label] for r in spark.createDataFrame(_corpus()[1], LABELS).collect()}
     judged = [(r.predicted, truth[r.doc_id]) for r in found if r.held_out and r.doc_id in truth]
-    assert len(judged) > 50 and sum(a == b for a, b in judged) / len(judged) >= (0.95 if module is quality else 0.85)
+    assert len(judged) > 50 and sum(a == b for a, b in judged) / len(judged) >= (0.95 if module is quality else 0.9)
     # No labels, and no documents.
     none = module.classify(docs, labels.where("false")).collect()
     assert {r.score for r in none} == ({0.5} if module is quality else {min(r.score for r in none)})
     assert module.classify(docs.where("false"), labels).collect() == []
 
 
+def test_toxic_documents_are_found_and_clean_ones_kept():
+    docs, labels = _corpus()
+    out = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i, *_ in docs])
+    truth = np.array([t for *_, t in labels])
+    texts = [t for _, t, *_ in docs]
+    model = toxicity.train([t for t, o in zip(texts, out, strict=True) if not o], truth[~out])
+    scorer = toxicity.Scorer(**model)
+    found = np.array([scorer.score(t) >= toxicity.THRESHOLD for t in texts])
+    assert found[out & (truth == 1)].mean() >= 0.9
+    assert found[out & (truth == 0)].mean() <= 0.12
+
+
 def test_misspelt_words_share_vectors():
     docs, labels = _corpus()
     texts = [t for _, t, *_ in docs]
