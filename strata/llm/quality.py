@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.labelled import fit_in_task, held_out, training_sample
 
-# At most so many labelled documents of each class are broadcast.
-PER_CLASS = 1_000
+# At most so many labelled documents of the larger class are broadcast, of the other at that rate.
+PER_CLASS = 3_000
 TERMS = 1 << 12
 LATENT = 32
 NEIGHBOURS = 15
