@@ -10,9 +10,12 @@ from strata.llm import (
     addressable,
     exact,
     itq,
+    limbs,
+    merkle,
     packing,
     pieces,
     quality,
+    secrets,
     simhash,
     toolcalls,
     toxicity,
@@ -76,6 +79,21 @@ def op10_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_limb_codes(spark, sf_dir):
+    """Codes of the vectors by codebooks learnt from all of them, and what they lose."""
+    return limbs.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_secrets(spark, sf_dir):
+    """Where the documents hold secrets."""
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark, sf_dir):
+    """Each document's proof in the manifest, and whether its tampered version is found out."""
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_token_codes": op2_token_codes,
@@ -87,9 +105,133 @@ REGISTERED: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_limb_codes": op11_limb_codes,
+    "op12_secrets": op12_secrets,
+    "op13_merkle": op13_merkle,
 }
 
+
+
+def _limb_codes_sql() -> str:
+    """Four rounds as common tables; doubles hold the whole numbers exactly."""
+
+    def near(name: str, book: str) -> str:
+        return f"""{name} AS MATERIALIZED (
+          SELECT vec_id, p, min(CAST(list_dot_product(v, v) - 2 * list_dot_product(v, c)
+            + list_dot_product(c, c) AS BIGINT) * 256 + e) AS best
+          FROM part JOIN {book} USING (p) GROUP BY vec_id, p)"""
+
+    steps = []
+    for i in range(4):
+        steps.append(near(f"near{i}", f"book{i}"))
+        steps.append(f"""book{i + 1} AS MATERIALIZED (
+          SELECT p, e, coalesce(any_value(means.c), any_value(book{i}.c)) AS c
+          FROM book{i} LEFT JOIN (
+            SELECT p, e, list(m ORDER BY j) AS c FROM (
+              SELECT p, best % 256 AS e, j, floor(sum(v[j]) / count(*)) AS m
+              FROM part JOIN near{i} USING (vec_id, p), generate_series(1, len(v)) AS s(j)
+              GROUP BY ALL) GROUP BY p, e) AS means USING (p, e)
+          GROUP BY p, e)""")
+    return f"""
+      WITH kept AS MATERIALIZED (
+        SELECT vec_id, label, list_transform(embedding,
+          lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+      part AS MATERIALIZED (
+        SELECT vec_id, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS v
+        FROM kept, range(4) AS r(p)),
+      book0 AS MATERIALIZED (
+        SELECT p, e, v AS c FROM part JOIN (
+          SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept) USING (vec_id)
+        WHERE e < 256),
+      {", ".join(steps)},
+      {near("final", "book4")},
+      coded AS (
+        SELECT vec_id, string_agg(lower(printf('%02x', best % 256)), '' ORDER BY p) AS code,
+          CAST(sum(best // 256) AS BIGINT) AS error
+        FROM final GROUP BY vec_id),
+      whole AS (
+        SELECT sha256(string_agg(array_to_string(
+          list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ','
+          ORDER BY p, e)) AS codebooks_sha256 FROM book4)
+      SELECT vec_id, code, error,
+        CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+      FROM kept JOIN coded USING (vec_id), whole"""
+
+
+def _merkle_sql() -> str:
+    """Levels by recursion, one row a node; proofs and folds by walking up them."""
+
+    def leaf(text: str) -> str:
+        columns = ("doc_id", "source", "lang", "n_chars", text)
+        fields = [
+            f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+            for c in columns
+        ]
+        return f"sha256({' || '.join(fields)})"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""{name} AS (
+          SELECT tree, 0 AS level, pos, h, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+          UNION ALL
+          SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM (
+            SELECT tree, max(level) + 1 AS level, pos // 3 AS pos,
+              sha256(string_agg(h, '' ORDER BY pos)) AS h
+            FROM {name} WHERE n > 1 GROUP BY tree, pos // 3))"""
+
+    def step(name: str, x: str, nodes: str) -> str:
+        """Siblings of the node at ``x.pos`` of level ``x.level``, before and after it."""
+        return f"""(SELECT coalesce(string_agg(s.h, '' ORDER BY s.pos)
+          FILTER (s.pos {name} {x}.pos), '') FROM {nodes} s WHERE s.tree = {x}.tree
+          AND s.level = {x}.level AND s.pos // 3 = {x}.pos // 3)"""
+
+    def walk(name: str, start: str, nodes: str) -> str:
+        before, after = step("<", "x", nodes), step(">", "x", nodes)
+        return f"""{name} AS (
+          SELECT * FROM {start}
+          UNION ALL
+          SELECT doc_id, tree, level + 1, pos // 3, proof || b || a, sha256(b || folded || a)
+          FROM (SELECT x.*, {before} AS b, {after} AS a FROM {name} x
+            JOIN {nodes} y ON y.tree = x.tree AND y.level = x.level AND y.pos = x.pos AND y.n > 1))"""
+
+    return f"""
+      WITH RECURSIVE leaf AS MATERIALIZED (
+        SELECT doc_id, coalesce(source, '-') || CASE WHEN source IS NULL THEN '' ELSE ':' END
+            AS tree, source, {leaf("text")} AS h,
+          CASE WHEN {_CRC32} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")}
+            ELSE {leaf("text")} END AS folded,
+          row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos
+        FROM documents),
+      {tree("nodes", "leaf")},
+      subroot AS MATERIALIZED (
+        SELECT nodes.tree AS name, '' AS tree, h,
+          row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos
+        FROM nodes JOIN (SELECT DISTINCT tree, source FROM leaf) USING (tree) WHERE n = 1),
+      {tree("tops", "subroot")},
+      start AS (SELECT doc_id, tree, 0 AS level, pos, '' AS proof, folded FROM leaf),
+      {walk("low", "start", "nodes")},
+      middle AS (
+        SELECT doc_id, '' AS tree, 0 AS level, s.pos, proof, folded
+        FROM low JOIN nodes y ON y.tree = low.tree AND y.level = low.level AND y.n = 1
+          JOIN subroot s ON s.name = low.tree),
+      {walk("high", "middle", "tops")},
+      top AS (SELECT level, h FROM tops WHERE n = 1)
+      SELECT doc_id, leaf.h AS leaf, subroot.h AS subroot, top.h AS root,
+        sha256(proof) AS proof_sha256, high.folded AS folded_root, high.folded = top.h AS verified
+      FROM high JOIN top USING (level) JOIN leaf USING (doc_id) JOIN subroot ON name = leaf.tree"""
+
+
+# The unsigned crc32 of a decimal number, eight shifts a character.
+_CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+            string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+              lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)),
+            4294967295)"""
+
 ORACLES: dict[str, str] = {
+    "op11_limb_codes": _limb_codes_sql(),
+    "op13_merkle": _merkle_sql(),
     "op4_warc": """
       WITH p AS (
         SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS h FROM pages),
