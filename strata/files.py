@@ -10,10 +10,17 @@ _BLOCK = 8 << 20
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path or URI, and the path within it."""
-    if "://" in path or path.startswith("file:"):
-        system, base = fs.FileSystem.from_uri(path)
-        return system, base.rstrip("/")
+    """The file system of a path or URI, and the path within it.
+
+    As in paths that Spark names, a percent sign stands for itself.
+    """
+    scheme, colon, rest = path.partition(":")
+    if scheme == "file" and colon:
+        return fs.LocalFileSystem(), "/" + rest.strip("/")
+    if "://" in path:
+        place, _, within = rest[2:].partition("/")
+        system, base = fs.FileSystem.from_uri(f"{scheme}://{place}/")
+        return system, f"{base.rstrip('/')}/{within}".rstrip("/")
     return fs.LocalFileSystem(), path.rstrip("/")
 
 

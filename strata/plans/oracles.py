@@ -295,6 +295,9 @@ ORACLES: dict[str, str] = {
     "raw_fact_roundtrip": _with(_TR, "SELECT * FROM tr_typed"),
     "landing_roundtrip": _with(_PERSON_CTES, _LOWER_PERSONA),
     "landing_partitioned": _with(_EVENT_CTES, _LOWER_TRANSACCION),
+    "landing_avro_roundtrip": _with(_EVENT_CTES, _LOWER_TRANSACCION),
+    "avro_fact_roundtrip": _with(_TR, "SELECT * FROM tr_typed"),
+    "avro_partition_overwrite": _with(_EVENT_CTES, _SECOND_WRITE),
     "dynamic_partition_overwrite": _with(_EVENT_CTES, _SECOND_WRITE),
     "full_refresh": _with(_EVENT_CTES, f"{_SECOND_WRITE} WHERE {_EVEN_DAY}"),
     "curated_write_read": _with(_EVENT_CTES, "SELECT * FROM tr"),

@@ -38,6 +38,7 @@ from strata.scratch import scratch_path
 from strata.sinks import catalog
 from strata.sinks.exports import export_csv, export_documents, export_single_csv, verify_documents
 from strata.sinks.layers import DEFAULT_PARTITION, append_audit, unescaped, write_layer, write_raw
+from strata.sources.avro import FORMAT as AVRO
 from strata.sources.delimited import INPUT_ENCODING, read_csv_export, read_raw
 from strata.sources.layers import read_documents, read_layer
 from strata.specs import AUDIT, EMPRESA, ENTITIES, GOLD, GOLD_PARTITION, PERSONA, TRANSACCION
@@ -228,8 +229,26 @@ def landing_partitioned(spark, sf_dir):
     return lake.landing(TRANSACCION)
 
 
-def _lake(spark: SparkSession, purpose: str) -> Lake:
-    return Lake(spark, scratch_path(spark, purpose))
+def landing_avro_roundtrip(spark, sf_dir):
+    """``landing_partitioned`` in Avro container files."""
+    facts = {"TRANSACCION": roles.transaccion_dirty(spark, sf_dir)}
+    return _landed(spark, facts, [TRANSACCION], AVRO).landing(TRANSACCION)
+
+
+def avro_fact_roundtrip(spark, sf_dir):
+    """The typed fact, numbers included, in Avro container files of one folder."""
+    path = scratch_path(spark, "avro-fact")
+    write_layer(typed(roles.transaccion(spark, sf_dir), TRANSACCION), path, fmt=AVRO)
+    return read_layer(spark, path, TRANSACCION.curated, fmt=AVRO)
+
+
+def avro_partition_overwrite(spark, sf_dir):
+    """``dynamic_partition_overwrite`` in Avro container files."""
+    return _two_writes(spark, sf_dir, "incremental", AVRO)
+
+
+def _lake(spark: SparkSession, purpose: str, landing_format: str = "parquet") -> Lake:
+    return Lake(spark, scratch_path(spark, purpose), landing_format)
 
 
 def _deliver(df: DataFrame, path: str) -> None:
@@ -237,8 +256,10 @@ def _deliver(df: DataFrame, path: str) -> None:
     write_raw(df, path, header=True, encoding=INPUT_ENCODING)
 
 
-def _landed(spark: SparkSession, entities: dict[str, DataFrame], specs) -> Lake:
-    lake = _lake(spark, "landing")
+def _landed(
+    spark: SparkSession, entities: dict[str, DataFrame], specs, landing_format: str = "parquet"
+) -> Lake:
+    lake = _lake(spark, "landing", landing_format)
     files = {name: scratch_path(spark, "delivery") for name in entities}
     for name, df in entities.items():
         _deliver(df, files[name])
@@ -250,16 +271,18 @@ def _landed(spark: SparkSession, entities: dict[str, DataFrame], specs) -> Lake:
 # --- partitioned writes -----------------------------------------------------------------
 
 
-def _two_writes(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+def _two_writes(
+    spark: SparkSession, sf_dir: str, mode: str, fmt: str = "parquet"
+) -> DataFrame:
     """Write every date, then the even days again with one unit more on each amount."""
     path = scratch_path(spark, mode)
     first = quality_transaccion(spark, sf_dir)
     second = first.where(F.dayofmonth(F.col("FECHA").cast("date")) % 2 == 0).withColumn(
         "MONTO", F.col("MONTO") + 1
     )
-    write_layer(first, path, partition_by="FECHA")
-    write_layer(second, path, partition_by="FECHA", mode=mode)
-    return read_layer(spark, path, TRANSACCION.curated)
+    write_layer(first, path, partition_by="FECHA", fmt=fmt)
+    write_layer(second, path, partition_by="FECHA", mode=mode, fmt=fmt)
+    return read_layer(spark, path, TRANSACCION.curated, fmt=fmt)
 
 
 def dynamic_partition_overwrite(spark, sf_dir):
@@ -579,6 +602,9 @@ REGISTERED: dict[str, Query] = {
     "raw_fact_roundtrip": raw_fact_roundtrip,
     "landing_roundtrip": landing_roundtrip,
     "landing_partitioned": landing_partitioned,
+    "landing_avro_roundtrip": landing_avro_roundtrip,
+    "avro_fact_roundtrip": avro_fact_roundtrip,
+    "avro_partition_overwrite": avro_partition_overwrite,
     "dynamic_partition_overwrite": dynamic_partition_overwrite,
     "full_refresh": full_refresh,
     "curated_write_read": curated_write_read,

@@ -24,6 +24,7 @@ from strata.plans.enrichment import enrich, small_dimensions
 from strata.sinks.exports import export_csv, export_documents, require_rows, verify_documents
 from strata.sinks.catalog import stored_files
 from strata.sinks.layers import append_audit, stored_partitions, write_layer, write_raw
+from strata.sources.avro import FORMAT as AVRO
 from strata.sources.avsc import read_avsc
 from strata.sources.delimited import read_delimited, read_raw
 from strata.sources.layers import read_layer
@@ -39,7 +40,10 @@ STEPS = ("con_persona", "con_trabajo", "con_comercio")
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers of one environment lie, below a root every executor can reach."""
+    """Where the layers of one environment lie, below a root every executor can reach.
+
+    ``landing_format`` is any format of the session, or the library's own source of Avro files.
+    """
 
     spark: SparkSession
     root: str
@@ -55,15 +59,23 @@ class Lake:
     def raw(self, spec: TableSpec) -> DataFrame:
         return read_raw(self.spark, self.path(RAW, spec.name), spec.raw)
 
-    def landing(self, spec: TableSpec) -> DataFrame:
-        path = self.path(LANDING, spec.name)
-        return read_layer(self.spark, path, spec.landing, fmt=self.landing_format)
+    def landing(
+        self, spec: TableSpec, dates: Sequence[str | None] | None = None
+    ) -> DataFrame:
+        """The landing layer, of all dates or only of some."""
+        by = spec.partition_by and spec.partition_by.lower()
+        how = {"fmt": self.landing_format, "partition_by": by, "only": dates}
+        return read_layer(self.spark, self.path(LANDING, spec.name), spec.landing, **how)
 
-    def curated(self, spec: TableSpec) -> DataFrame:
-        return read_layer(self.spark, self.path(CURATED, spec.name), spec.curated)
+    def curated(
+        self, spec: TableSpec, dates: Sequence[str | None] | None = None
+    ) -> DataFrame:
+        how = {"partition_by": spec.partition_by, "only": dates}
+        return read_layer(self.spark, self.path(CURATED, spec.name), spec.curated, **how)
 
-    def gold(self) -> DataFrame:
-        return read_layer(self.spark, self.path(FUNCTIONAL, GOLD_TABLE), GOLD)
+    def gold(self, dates: Sequence[str | None] | None = None) -> DataFrame:
+        how = {"partition_by": GOLD_PARTITION, "only": dates}
+        return read_layer(self.spark, self.path(FUNCTIONAL, GOLD_TABLE), GOLD, **how)
 
     def audit(self) -> DataFrame:
         return read_layer(self.spark, self.audit_path, AUDIT)
@@ -144,7 +156,7 @@ def run_curated(
 
     def curate(spec: TableSpec) -> None:
         scope = scopes[spec.name]
-        landing = _only(lake.landing(spec), spec.partition_by, scope)
+        landing = lake.landing(spec, scope)
         write_layer(
             apply_rules(landing, spec, validate=validate),
             lake.path(CURATED, spec.name),
@@ -156,12 +168,7 @@ def run_curated(
 
     _together(lake, curate, specs)
     report = stored_report(
-        (
-            s,
-            _only(lake.landing(s), s.partition_by, scopes[s.name]),
-            _only(lake.curated(s), s.partition_by, scopes[s.name]),
-        )
-        for s in specs
+        (s, lake.landing(s, scopes[s.name]), lake.curated(s, scopes[s.name])) for s in specs
     )
     append_audit(audit_rows(report, executed_at), lake.audit_path)
     return report
@@ -183,10 +190,10 @@ def run_functional(
     replaced, even by nothing. ``by_date`` gives the check for each date.
     """
     _require_incremental(mode, dates)
-    curated, persona, empresa = (lake.curated(s) for s in (TRANSACCION, PERSONA, EMPRESA))
+    persona, empresa = lake.curated(PERSONA), lake.curated(EMPRESA)
     path = lake.path(CURATED, TRANSACCION.name)
     scope = _scope(lake.spark, path, TRANSACCION, mode, dates)
-    transaccion = _only(curated, TRANSACCION.partition_by, scope)
+    transaccion = lake.curated(TRANSACCION, scope)
     small = small_dimensions(persona, empresa) if strategy == "broadcast" else (False, False)
     gold = enrich(transaccion, persona, empresa, strategy, small)
     write_layer(
@@ -198,7 +205,7 @@ def run_functional(
         scope=scope,
     )
     check = check_by_date if by_date else integrity_check
-    return check(transaccion, _only(lake.gold(), GOLD_PARTITION, scope))
+    return check(transaccion, lake.gold(scope))
 
 
 def functional_metrics(lake: Lake, dates: Sequence[str | None] | None = None) -> DataFrame:
@@ -207,9 +214,9 @@ def functional_metrics(lake: Lake, dates: Sequence[str | None] | None = None) ->
 
     The steps take one pass over the curated fact, gold's figures one over its partition column.
     """
-    transaccion = _only(lake.curated(TRANSACCION), TRANSACCION.partition_by, dates)
+    transaccion = lake.curated(TRANSACCION, dates)
     steps = chain_metrics(transaccion, lake.curated(PERSONA), lake.curated(EMPRESA), STEPS)
-    gold = _only(lake.gold(), GOLD_PARTITION, dates)
+    gold = lake.gold(dates)
     per_date = gold.groupBy(GOLD_PARTITION).agg(F.count("*").alias("n"))
     figures = per_date.agg(F.sum("n").alias("rows"), F.count("*").alias("dates")).first()
     return steps.select(
@@ -226,7 +233,8 @@ def storage_report(lake: Lake) -> DataFrame:
     tables.append((FUNCTIONAL, GOLD_TABLE, "parquet", lake.gold()))
     out = None
     for layer, name, fmt, stored in tables:
-        files = stored_files(lake.spark, lake.path(layer, name), fmt).agg(
+        ending = "avro" if fmt == AVRO else fmt
+        files = stored_files(lake.spark, lake.path(layer, name), ending).agg(
             F.lit(layer).alias("capa"),
             F.lit(name.lower()).alias("tabla"),
             F.lit(fmt).alias("formato"),
@@ -288,16 +296,6 @@ def _scope(
     return stored_partitions(spark, source, spec.partition_by) if dates is None else list(dates)
 
 
-def _only(
-    df: DataFrame, partition_by: str | None, dates: Sequence[str | None] | None
-) -> DataFrame:
-    if partition_by is None or dates is None:
-        return df
-    date = F.col(partition_by)
-    named = date.isin([d for d in dates if d is not None])
-    return df.where(named | date.isNull() if None in dates else named)
-
-
 def _together(lake: Lake, job: Callable[[TableSpec], None], specs: Sequence[TableSpec]) -> None:
     """Run one job per entity at the same time: the small ones fill what the large one leaves."""
     inherit = inheritable_thread_target(lake.spark)

@@ -15,6 +15,7 @@ from strata.plans.stages import (
     Lake,
 )
 from strata.sinks import catalog
+from strata.sources.avro import FORMAT as AVRO
 from strata.sources.delimited import DIALECT, LAYER_ENCODING
 from strata.specs import AUDIT, ENTITIES, GOLD, GOLD_PARTITION
 
@@ -26,7 +27,8 @@ def database(environment: str, layer: str) -> str:
 def register_layers(lake: Lake, environment: str) -> list[str]:
     """One database per layer with an external table per entity; returns the databases.
 
-    Only metadata: files are neither moved nor read. Run it again after new partitions.
+    Only metadata: files are neither moved nor read. Run it again after new partitions. A landing
+    layer in Avro files becomes temporary views, named <database>_<table>.
     """
     spark = lake.spark
     for layer in LAYERS:
@@ -50,6 +52,11 @@ def register_layers(lake: Lake, environment: str) -> list[str]:
 def _register(
     lake: Lake, environment: str, layer: str, name: str, schema: StructType, **how
 ) -> None:
+    if how.get("fmt") == AVRO:
+        # A table over a Python source is given no options, so those of a session see a view.
+        spec = next(s for s in ENTITIES if s.name == name)
+        lake.landing(spec).createOrReplaceTempView(f"{database(environment, layer)}_{name.lower()}")
+        return
     table = f"{database(environment, layer)}.{name.lower()}"
     catalog.drop_table(lake.spark, table)
     catalog.create_table(lake.spark, table, schema, lake.path(layer, name), **how)

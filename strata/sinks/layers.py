@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.files import file_system
+from strata.sources import avro
 from strata.sources.delimited import DIALECT, LAYER_ENCODING
 from strata.specs import partition_last
 
@@ -57,30 +60,75 @@ def write_layer(
         raise ValueError("an incremental write needs a partition column")
     out = df.select(*partition_last(df.columns, partition_by))
     spark, wanted = df.sparkSession, None if scope is None else set(scope)
-    before = _files(spark, path, partition_by, wanted) if mode == "incremental" and wanted else {}
+    before = []
+    if mode == "incremental" and wanted:
+        before = _listed(spark, path, partition_by, wanted)
     if partition_by is not None and not clustered:
         out = out.hint("rebalance", partition_by)
     writer = out.write.format(fmt).mode("overwrite").option("compression", COMPRESSION)
     if partition_by is not None:
         overwrite = "dynamic" if mode == "incremental" else "static"
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", overwrite)
+        writer = writer.option("partitionOverwriteMode", overwrite)
+    if fmt == avro.FORMAT:
+        avro.register(spark)
+        if partition_by is not None:
+            writer = writer.option("partition_by", out.columns[-1])
+    elif partition_by is not None:
+        writer = writer.partitionBy(partition_by)
     writer.options(**(options or {})).save(path)
     if before:
-        _empty_stale(out.drop(partition_by), path, partition_by, before, wanted, fmt)
+        _drop_stale(before, _listed(spark, path, partition_by, wanted))
 
 
-def stored_partitions(spark: SparkSession, path: str, partition_by: str) -> list[str | None]:
-    """The partition values that have files under ``path``, from the listing alone."""
-    return list({value for value, _ in _listed(spark, path, partition_by)})
+def stored_partitions(
+    spark: SparkSession,
+    path: str,
+    partition_by: str,
+    wanted: Iterable[str | None] | None = None,
+) -> list[str | None]:
+    """The partition values that have files under ``path``, from the listing alone.
+
+    With ``wanted`` only the folders of those values are listed. The values are made distinct
+    before they reach the driver, files never do.
+    """
+    return list({value for value, _, _ in _listed(spark, path, partition_by, wanted)})
 
 
-def _listed(spark: SparkSession, path: str, partition_by: str) -> list[tuple[str | None, str]]:
-    """(partition value, file) under ``path``; values unescaped, the default partition as NULL."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+def _listed(
+    spark: SparkSession,
+    path: str,
+    partition_by: str,
+    wanted: Iterable[str | None] | None = None,
+) -> list[tuple[str | None, str, str]]:
+    """(partition value, folder, its least file) per folder with files under ``path``.
+
+    Values are unescaped, the default partition is NULL.
+    """
+    wanted = None if wanted is None else set(wanted)
+    if wanted is not None and not wanted:
+        return []
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
+    try:
+        files = reader.load(f"{path}/{_pattern(partition_by, wanted)}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
     name = F.regexp_extract("path", rf"(?i)/{partition_by}=([^/]*)/[^/]*$", 1)
     value = F.when(name != DEFAULT_PARTITION, unescaped(name))
-    rows = reader.option("pathGlobFilter", "part-*").load(path).select(value.alias("value"), "path")
-    return [(r["value"], r["path"]) for r in rows.collect()]
+    rows = files.groupBy(value.alias("value"), folder.alias("folder")).agg(F.min("path"))
+    return [tuple(r) for r in rows.collect()]
+
+
+def _pattern(partition_by: str, wanted: set[str | None] | None) -> str:
+    """A glob for the folders of partition values, whatever the case of the column."""
+    column = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in partition_by)
+    if wanted is None:
+        return f"{column}=*"
+    names = [avro.folder_name("", value)[1:] for value in sorted(wanted, key=str)]
+    escaped = [re.sub(r"([\\{}\[\]*?,^])", r"\\\1", n) for n in names]
+    return f"{column}={{{','.join(escaped)}}}"
 
 
 def unescaped(name: Column) -> Column:
@@ -88,26 +136,14 @@ def unescaped(name: Column) -> Column:
     return F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def _files(
-    spark: SparkSession, path: str, partition_by: str, wanted: set[str | None]
-) -> dict[str, str | None]:
-    """Files of the wanted partitions; none if nothing has been written yet."""
-    try:
-        listed = _listed(spark, path, partition_by)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    return {file: value for value, file in listed if value in wanted}
+def _drop_stale(before: list[tuple], after: list[tuple]) -> None:
+    """Remove the folders that an overwrite, having no rows for them, left as they were.
 
-
-def _empty_stale(empty, path, partition_by, before, wanted, fmt) -> None:
-    """Overwrite the folders of partitions whose files a dynamic overwrite left as they were."""
-    spark = empty.sparkSession
-    left = before.keys() & _files(spark, path, partition_by, wanted).keys()
-    for folder in sorted({file.rsplit("/", 1)[0] for file in left}):
-        nothing = spark.createDataFrame([], empty.schema)
-        nothing.write.format(fmt).mode("overwrite").option("compression", COMPRESSION).save(folder)
+    Every write names its files anew, so a folder whose least file is still there was left.
+    """
+    for _, folder, _ in set(before) & set(after):
+        system, base = file_system(folder)
+        system.delete_dir(base)
 
 
 def append_audit(rows: DataFrame, path: str) -> None:
