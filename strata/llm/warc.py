@@ -28,6 +28,8 @@ from strata.scratch import scratch_path
 # Bytes of records, before compression, after which a task starts its next archive.
 ARCHIVE_BYTES = 16_000_000
 FILES_A_TASK = 4
+# Bytes given to a record's decompressor at once: a few at first, more for a long record.
+_WINDOW, _LARGEST_WINDOW = 4 << 10, 1 << 20
 CAPTURED_AT = "1970-01-01T00:00:00Z"
 
 # Names that the format prescribes.
@@ -178,12 +180,18 @@ def _archive(folder: str, members: list[bytes], captures: int) -> pa.RecordBatch
 
 def parse_records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record of a gzip file with one member per record."""
-    view = memoryview(archive)
-    while view:
-        unpacker = zlib.decompressobj(31)
-        whole = unpacker.decompress(view) + unpacker.flush()
-        rest = len(unpacker.unused_data)
-        view = view[len(view) - rest :]
+    view, at = memoryview(archive), 0
+    while at < len(view):
+        unpacker, parts, window = zlib.decompressobj(31), [], _WINDOW
+        while not unpacker.eof:
+            some = view[at : at + window]
+            if not some:
+                raise ValueError("a record breaks off")
+            parts.append(unpacker.decompress(some))
+            # What lies behind the member is copied by the decompressor, so windows are small.
+            at += len(some) - len(unpacker.unused_data)
+            window = min(2 * window, _LARGEST_WINDOW)
+        whole = b"".join(parts)
         head, _, block = whole.partition(b"\r\n\r\n")
         version, *lines = head.decode("utf-8").split("\r\n")
         if not version.startswith("WARC/"):
