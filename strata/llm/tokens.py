@@ -19,11 +19,13 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 1
 ID_TYPE = np.dtype("<u4")
 
-# Chunks (words) that one generation of what a worker remembers holds; there are two at a
-# time, so that frequent ones stay. The longest remembered, in bytes.
-_CHUNKS_KNOWN = 150_000
-_WORDS_KNOWN = 80_000
+# Chunks (words) that one generation of what a worker remembers holds, about 150 bytes each;
+# there are two at a time, so that frequent ones stay. The longest remembered, in bytes.
+_CHUNKS_KNOWN = 300_000
+_WORDS_KNOWN = 160_000
 _LONGEST_KNOWN = 48
+# Places (a power of two) in which a generation notes that it has met something once.
+_PLACES = 1 << 22
 
 # How the tokenizer splits, for chunks of printable ASCII and Latin-1 letters.
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -40,7 +42,10 @@ def vocabulary_path(name: str = WORD_BPE) -> str:
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 
-def _packed(ids: list[int]) -> bytes:
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers; few are packed without an array."""
+    if len(ids) < len(_PACK):
+        return _PACK[len(ids)](*ids)
     return np.asarray(ids, ID_TYPE).tobytes()
 
 
@@ -52,22 +57,35 @@ def _byte_letters() -> list[str]:
 
 
 class Known:
-    """A bounded memory in two generations: what the older one still serves moves on."""
+    """A bounded memory in two generations: what the older one still serves moves on.
+
+    Most chunks are met once and never again, so one is only kept when it is met a second time;
+    until then it is a mark in a table of places, where two may share one.
+    """
 
     def __init__(self, most: int):
         self.most = most
         self.young: dict = {}
         self.old: dict = {}
+        self.met = bytearray(_PLACES)
 
     def older(self, key):
         value = self.old.get(key)
         if value is not None:
-            self.young[key] = value
+            self._keep(key, value)
         return value
 
     def put(self, key, value) -> None:
+        place = hash(key) & (_PLACES - 1)
+        if self.met[place]:
+            self._keep(key, value)
+        else:
+            self.met[place] = 1
+
+    def _keep(self, key, value) -> None:
         if len(self.young) >= self.most:
             self.old, self.young = self.young, {}
+            self.met = bytearray(_PLACES)
         self.young[key] = value
 
 
@@ -115,7 +133,7 @@ class ChunkEncoder:
 
     def _whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return _packed(ids)
+        return packed_ids(ids)
 
     def _word(self, word: str) -> bytes:
         ids = self._words.young.get(word) or self._words.older(word)
@@ -123,8 +141,7 @@ class ChunkEncoder:
             spelled = word
             if not word.isascii():
                 spelled = "".join(map(self._letters.__getitem__, word.encode("utf-8")))
-            found = [t.id for t in self._model.tokenize(spelled)]
-            ids = _PACK[len(found)](*found) if len(found) < len(_PACK) else _packed(found)
+            ids = packed_ids([t.id for t in self._model.tokenize(spelled)])
             self._words.put(word, ids)
         return ids
 
