@@ -2,7 +2,8 @@
 
 A text is normalised as the model's files say (a mark in front, blanks to marks) and falls into
 marked words: no piece of the vocabulary holds a mark after another character, so the best
-segmentation of a text is that of its marked words. A task gathers the distinct words of a
+segmentation of a text is that of its marked words. Where no piece joins letters with signs or
+digits, or holds a line feed, words end there too. A task gathers the distinct words of a
 batch, sorts them, which makes them the leaves of a trie in depth-first order, and keeps the
 forward scores of the prefix that a word shares with the one before it.
 
@@ -12,29 +13,27 @@ Characters without a piece fall back to their bytes.
 from __future__ import annotations
 
 import re
-import zlib
+import string
 from collections.abc import Iterable, Iterator
 from functools import cache
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.tokens import ID_TYPE, vocabulary_path
+from strata.llm.tokens import ID_TYPE, Known, packed_ids, vocabulary_path
 
 PIECES = "piece_bpe_32k.model"
 MARK = "▁"
 # Fixed value: how far below the least piece an unknown character scores.
 UNKNOWN_PENALTY = 10.0
 
-_WORD = re.compile(r" +[^ ]*")
-# Words a worker remembers, and the longest of them.
-_WORDS_KNOWN = 200_000
+# Words that one generation of what a worker remembers holds, and the longest of them.
+_WORDS_KNOWN = 220_000
 _LONGEST_KNOWN = 40
 # Characters of text whose words are sorted together; a longer text is sorted alone.
-_CHARS_AT_ONCE = 1_000_000
+_CHARS_AT_ONCE = 3_000_000
 
 
 class PieceCodec:
@@ -56,7 +55,15 @@ class PieceCodec:
         self._id = {names[i]: i for i in plain}
         if any(MARK in p.lstrip(MARK) for p in self._score):
             raise ValueError("a piece goes on over a mark, so words are not independent")
-        self._tails = {p[i:] for p in self._score for i in range(len(p))}
+        self._words = word_pattern(self._score)
+        # Pieces backwards, as a trie: a node is its children and the score of the piece it ends.
+        self._ends: dict[str, list] = {}
+        for piece, score in self._score.items():
+            children = self._ends
+            for c in reversed(piece):
+                node = children.setdefault(c, [{}, None])
+                children = node[0]
+            node[1] = score
         self._unknown = min(self._score.values()) - UNKNOWN_PENALTY
         self._byte = {int(n[3:5], 16): i for i, n in enumerate(names) if model.is_byte(i)}
         self._text = [b""] * size
@@ -64,7 +71,7 @@ class PieceCodec:
             self._text[i] = names[i].replace(MARK, " ").encode("utf-8")
         for byte, i in self._byte.items():
             self._text[i] = bytes([byte])
-        self._known: dict[str, bytes] = {}
+        self._known = Known(_WORDS_KNOWN)
 
     # --- encoding ---
 
@@ -80,21 +87,29 @@ class PieceCodec:
         yield from self._encode_run(run)
 
     def _encode_run(self, texts: list[str]) -> Iterator[bytes]:
-        split = [_WORD.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
+        split = [self._words.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         known = self._known
-        if len(known) > _WORDS_KNOWN:
-            known.clear()
-        now = self._encode_sorted(sorted({w for words in split for w in words}.difference(known)))
+        # What is remembered may be replaced as words are met, so the run keeps what it needs.
+        young, now = known.young, {}
+        missing = set().union(*split).difference(young)
+        for word in list(missing):
+            ids = known.older(word)
+            if ids is not None:
+                now[word] = ids
+                missing.remove(word)
+        now.update(self._encode_sorted(sorted(missing)))
         for words in split:
-            parts = list(map(known.get, words))
+            parts = list(map(young.get, words))
             if None in parts:
                 parts = [now[w] if p is None else p for w, p in zip(words, parts, strict=True)]
             yield b"".join(parts)
-        known.update((w, ids) for w, ids in now.items() if len(w) <= _LONGEST_KNOWN)
+        for word in missing:
+            if len(word) <= _LONGEST_KNOWN:
+                known.put(word, now[word])
 
     def _encode_sorted(self, words: list[str]) -> dict[str, bytes]:
         """Ids of sorted words: positions of the prefix shared with the last word are kept."""
-        score, tails, unknown = self._score, self._tails, self._unknown
+        ends, unknown = self._ends, self._unknown
         best, back, last = [0.0], [0], ""
         out = {}
         for word in words:
@@ -102,17 +117,20 @@ class PieceCodec:
             shared = _shared(last, marked)
             del best[shared + 1 :], back[shared + 1 :]
             for end in range(shared + 1, len(marked) + 1):
-                start = end - 1
-                top, origin = best[start] + unknown, start
-                if marked[start] in score:
-                    top = best[start] + score[marked[start]]
-                start -= 1
+                start = origin = end - 1
+                node = ends.get(marked[start])
+                if node is None:
+                    best.append(best[start] + unknown)
+                    back.append(start)
+                    continue
+                children, score = node
+                top = best[start] + (unknown if score is None else score)
                 # Longer pieces win ties: they start first.
-                while start >= 0 and (tail := marked[start:end]) in tails:
-                    value = score.get(tail)
-                    if value is not None and best[start] + value >= top:
-                        top, origin = best[start] + value, start
+                while start and (node := children.get(marked[start - 1])) is not None:
                     start -= 1
+                    children, score = node
+                    if score is not None and best[start] + score >= top:
+                        top, origin = best[start] + score, start
                 best.append(top)
                 back.append(origin)
             last = marked
@@ -131,7 +149,7 @@ class PieceCodec:
                 ids.append(own)
             else:
                 ids += [self._byte[x] for x in marked[a:b].encode("utf-8")]
-        return np.array(ids, ID_TYPE).tobytes()
+        return packed_ids(ids)
 
     # --- decoding ---
 
@@ -148,6 +166,28 @@ def _shared(a: str, b: str) -> int:
     return next(i for i in range(most) if a[i] != b[i])
 
 
+def word_pattern(pieces: Iterable[str]) -> re.Pattern:
+    """Where a text may be cut, with blanks for marks, so that no piece crosses a cut.
+
+    Always before blanks; between signs of ASCII and other characters unless a piece holds both;
+    around digits if they stand alone in their pieces; around line feeds that no piece holds.
+    """
+    plain = [p.lstrip(MARK) for p in pieces]
+    sign = f"[{re.escape(string.punctuation)}]"
+    apart = not any(0 < len(re.findall(sign, p)) < len(p) for p in plain)
+    alone = "" if any(len(p) > 1 and re.search("[0-9]", p) for p in plain) else "0-9"
+    feeds = "" if any("\n" in p for p in plain) else "\n"
+    signs = re.escape(string.punctuation) if apart else ""
+    parts = [
+        rf" *[^ {signs}{alone}{feeds}]+",
+        rf" *[{signs}]+" if signs else "",
+        rf" *[{alone}]" if alone else "",
+        feeds,
+        " +",
+    ]
+    return re.compile("|".join(filter(None, parts)))
+
+
 @cache
 def codec(name: str = PIECES) -> PieceCodec:
     """One codec per worker process."""
@@ -173,36 +213,29 @@ def encode(docs: DataFrame, model: str = PIECES) -> DataFrame:
 
 
 def decode(encoded: DataFrame, model: str = PIECES) -> DataFrame:
-    """(doc_id, text) of encoded documents: the text again, with marks as blanks."""
+    """(doc_id, ids, text) of encoded documents: the text again, with marks as blanks."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [codec(model).decode(i or b"") for i in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"]
+                [batch["doc_id"], batch["ids"], pa.array(texts, pa.string())],
+                ["doc_id", "ids", "text"],
             )
 
-    return encoded.select("doc_id", "ids").mapInArrow(of_batch, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(
+        of_batch, "doc_id long, ids binary, text string"
+    )
 
 
 def round_trip(docs: DataFrame, model: str = PIECES) -> DataFrame:
-    """doc_id, n_ids, ids_crc32 and the decoded text's text_sha256, without moving any ids."""
-
-    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model)
-        for batch in batches:
-            ids = list(own.encode_batch(batch["text"].to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"],
-                    pa.array([len(i) // ID_TYPE.itemsize for i in ids], pa.int64()),
-                    pa.array([zlib.crc32(i) for i in ids], pa.int64()),
-                    pa.array([sha256(own.decode(i).encode()).hexdigest() for i in ids]),
-                ],
-                ["doc_id", "n_ids", "ids_crc32", "text_sha256"],
-            )
-
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return texts.mapInArrow(
-        of_batch, "doc_id long, n_ids long, ids_crc32 long, text_sha256 string"
+    """What ``encode`` gives and ``decode`` makes of it again: doc_id, ids, n_ids, ids_crc32 and
+    the decoded text's text_sha256. Nothing is shuffled or stored."""
+    both = decode(encode(docs, model), model)
+    return both.select(
+        "doc_id",
+        "ids",
+        (F.octet_length("ids") / ID_TYPE.itemsize).cast("bigint").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
     )

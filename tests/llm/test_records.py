@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+import time
 from collections import Counter
 from functools import cache
 
@@ -182,9 +183,42 @@ def test_segmentations_are_the_best_and_decode_to_the_text(codec):
 def test_documents_make_the_round_trip(spark):
     data = [(1, "Hello  wörld\n", "z"), (2, None, "z"), (None, "", "z"), (1, "a b", "z")]
     docs = spark.createDataFrame(data, "doc_id long, text string, ids string")
-    decoded = pieces.decode(pieces.encode(docs))
+    decoded = pieces.decode(pieces.encode(docs)).drop("ids")
     assert rows(decoded) == Counter((i, t or "") for i, t, _ in data)
     for row in pieces.round_trip(docs).collect():
         texts = [t or "" for i, t, _ in data if i == row.doc_id]
         assert row.text_sha256 in {hashlib.sha256(t.encode()).hexdigest() for t in texts}
     assert pieces.round_trip(docs.where("false")).collect() == []
+
+
+def test_words_end_where_no_piece_goes_on():
+    text = " ab, 12.5\n\n x  y_1!é "
+    cut = pieces.word_pattern(["▁ab", "b", "▁", ",.", "1", "▁▁", "é"])
+    assert cut.findall(text) == [" ab", ",", " 1", "2", ".", "5", "\n", "\n", " x", "  y", "_", "1", "!", "é", " "]
+    glued = pieces.word_pattern(["a,", "12", "a\nb"])
+    assert glued.findall(text) == [" ab,", " 12.5\n\n", " x", "  y_1!é", " "]
+
+
+def test_a_small_memory_changes_no_ids(codec, monkeypatch):
+    monkeypatch.setattr(pieces, "_WORDS_KNOWN", 7)
+    monkeypatch.setattr(pieces, "_CHARS_AT_ONCE", 50)
+    small = pieces.PieceCodec(vocabulary_path(pieces.PIECES))
+    texts = [f"word{i % 13} again, and {i} more words\nof text {i % 5}" for i in range(300)]
+    assert list(small.encode_batch(texts)) == list(codec.encode_batch(texts))
+
+
+def test_long_and_many_records_are_read_in_windows():
+    page = bytes(random.Random(4).randbytes(5_000_000))
+    records = [warc.record("response", {"WARC-Record-ID": str(i)}, b) for i, b in enumerate((page, b"", b"short", page[:9000]))]
+    found = list(warc.parse_records(b"".join(records)))
+    assert [b for _, b in found] == [page, b"", b"short", page[:9000]]
+    with pytest.raises(ValueError):
+        list(warc.parse_records(b"".join(records)[:-20]))
+    # Reading touches each byte a bounded number of times, however long the archive is.
+    small = warc.record("metadata", {"WARC-Record-ID": "x"}, b"page " * 20)
+    seconds = []
+    for count in (2_000, 16_000):
+        start = time.process_time()
+        assert sum(1 for _ in warc.parse_records(small * count)) == count
+        seconds.append(time.process_time() - start)
+    assert seconds[1] < 24 * seconds[0]
