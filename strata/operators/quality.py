@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.casts import lenient
-from strata.specs import AUDIT, TableSpec
+from strata.specs import ACCEPTED, AUDIT, REJECTED, TableSpec
 
 REPORT_COLUMNS = ["tabla", "origen", "curated", "rechazados", "calidad_pct"]
 
@@ -38,6 +38,56 @@ def apply_rules(df: DataFrame, spec: TableSpec, *, validate: bool = True) -> Dat
     return out
 
 
+def broken_rules(spec: TableSpec) -> Column:
+    """The rules that a typed row fails, as bits in the order of the rules; 0 if it is accepted."""
+    mask = F.lit(0)
+    for bit, rule in enumerate(spec.rules.values()):
+        passed = F.coalesce(F.expr(rule), F.lit(False))
+        mask = mask + F.when(passed, 0).otherwise(1 << bit)
+    return mask.cast("int")
+
+
+def reasons(spec: TableSpec, mask: Column) -> Column:
+    """The names of the rules whose bits are set, comma-joined."""
+    names = [
+        F.when(mask.bitwiseAND(1 << bit) != 0, F.lit(name)) for bit, name in enumerate(spec.rules)
+    ]
+    return F.concat_ws(",", *names)
+
+
+def judged(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every row of ``df``, typed, with ``veredicto`` and the names of the rules it fails
+    (``motivos``, NULL for accepted rows)."""
+    mask = F.col("_mask")
+    return (
+        typed(df, spec)
+        .withColumn("_mask", broken_rules(spec))
+        .withColumn("motivos", F.when(mask != 0, reasons(spec, mask)))
+        .withColumn("veredicto", F.when(mask == 0, ACCEPTED).otherwise(REJECTED))
+        .drop("_mask")
+    )
+
+
+def quality_reasons(sources: Iterable[tuple[TableSpec, DataFrame]]) -> DataFrame:
+    """(tabla, motivos, filas): rows by the set of rules they fail, from one pass per entity.
+
+    Accepted rows have no motivos. There are at most 2^rules sets, summed before the shuffle.
+    """
+    parts = []
+    for spec, df in sources:
+        counts = (
+            typed(df, spec)
+            .groupBy(broken_rules(spec).alias("_mask"))
+            .agg(F.count("*").alias("filas"))
+        )
+        named = F.when(F.col("_mask") != 0, reasons(spec, F.col("_mask")))
+        parts.append(counts.select(F.lit(spec.name).alias("tabla"), named.alias("motivos"), "filas"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def quality_report(sources: Iterable[tuple[TableSpec, DataFrame]]) -> DataFrame:
     """One row per entity, each from a single pass over its untyped source."""
     return _stack(

@@ -9,6 +9,10 @@ from strata.functions.casts import lenient_int
 from strata.operators.lookup import hot_keys, is_small, lookup
 from strata.specs import GOLD
 
+# Columns of the dimensions that the steps use.
+PERSON_COLUMNS = ("ID", "NOMBRE", "EDAD", "SALARIO", "ID_EMPRESA")
+COMPANY_COLUMNS = ("ID", "NOMBRE")
+
 _PERSON = {"NOMBRE": "NOMBRE_PERSONA", "EDAD": "EDAD_PERSONA", "SALARIO": "SALARIO_PERSONA"}
 
 
@@ -57,8 +61,8 @@ def with_merchant(step2: DataFrame, empresa: DataFrame, strategy: str = "auto")
 def small_dimensions(persona: DataFrame, empresa: DataFrame) -> tuple[bool, bool]:
     """Whether each dimension, in the columns the steps use, is within the broadcast bound."""
     return (
-        is_small(persona.select("ID", *_PERSON, "ID_EMPRESA")),
-        is_small(empresa.select("ID", "NOMBRE")),
+        is_small(persona.select(*PERSON_COLUMNS)),
+        is_small(empresa.select(*COMPANY_COLUMNS)),
     )
 
 

@@ -262,6 +262,79 @@ _PERSON_CTES = (_PERSONA_DIRTY, _PERSONA_TYPED, _PERSONA_ACCEPTED)
 _EVENT_CTES = (_TRANSACCION_DIRTY, _TRANSACCION_ACCEPTED)
 _STAGE_CTES = (*_PER, _EMPRESA, _TRANSACCION_DIRTY, _TRANSACCION_ACCEPTED)
 
+_PERSONA_CHANGED = _PERSONA.replace("per_text AS", "per_first AS") + """,
+per_text AS (
+  SELECT * REPLACE (
+    CASE WHEN CAST(ID AS BIGINT) % 7 = 3 THEN NOMBRE || ' II' ELSE NOMBRE END AS NOMBRE,
+    CASE WHEN CAST(ID AS BIGINT) % 13 = 2 THEN '6' ELSE ID_EMPRESA END AS ID_EMPRESA)
+  FROM per_first WHERE CAST(ID AS BIGINT) % 11 <> 5)"""
+_EMPRESA_CHANGED = _EMPRESA.replace("emp AS", "emp_first AS") + """,
+emp AS (
+  SELECT CASE WHEN ID = '9' THEN 'Y9' ELSE ID END AS ID,
+    CASE WHEN ID = '7' THEN NOMBRE || ' SA' ELSE NOMBRE END AS NOMBRE
+  FROM emp_first)"""
+_CHANGED = (
+    _PERSONA_CHANGED,
+    _PERSONA_TYPED,
+    _PERSONA_ACCEPTED,
+    _EMPRESA_CHANGED,
+    _TRANSACCION_DIRTY,
+    _TRANSACCION_ACCEPTED,
+    *_STEPS,
+)
+
+# A date's amounts are set to 1 before the rules see them, so what was rejected for them passes.
+_AGAIN = """tr AS (
+  SELECT ID_PERSONA, ID_EMPRESA, CASE WHEN day(CAST(FECHA AS DATE)) = 7 THEN 1 ELSE MONTO END AS MONTO,
+    FECHA
+  FROM tr_typed
+  WHERE ID_PERSONA IS NOT NULL AND ID_EMPRESA IS NOT NULL AND day(CAST(FECHA AS DATE)) <> 5
+    AND (MONTO >= 0 OR day(CAST(FECHA AS DATE)) = 7))"""
+_AGAIN_CTES = (*_PER, _EMPRESA, _TRANSACCION_DIRTY, _AGAIN, *_STEPS)
+_CHANGED_DATES = """SELECT *, (SELECT CAST(count(DISTINCT FECHA) AS INTEGER) FROM tr_text
+  WHERE day(CAST(FECHA AS DATE)) IN (5, 7)) AS fechas FROM s3"""
+
+
+def _motives(rules: dict[str, str]) -> str:
+    names = ", ".join(
+        f"CASE WHEN NOT coalesce({rule}, FALSE) THEN '{name}' END" for name, rule in rules.items()
+    )
+    return f"nullif(concat_ws(',', {names}), '')"
+
+
+_PERSON_RULES = {
+    "id_present": "ID IS NOT NULL",
+    "employer_present": "ID_EMPRESA IS NOT NULL",
+    "age_in_range": "EDAD BETWEEN 1 AND 99",
+    "salary_in_range": "SALARIO BETWEEN 0.01 AND 9999999.99",
+}
+_COMPANY_RULES = {"id_present": "ID IS NOT NULL"}
+_FACT_RULES = {
+    "person_present": "ID_PERSONA IS NOT NULL",
+    "company_present": "ID_EMPRESA IS NOT NULL",
+    "amount_not_negative": "MONTO >= 0",
+}
+_REASONS = " UNION ALL ".join(
+    f"SELECT '{name}' AS tabla, {_motives(rules)} AS motivos, count(*) AS filas "
+    f"FROM {table} GROUP BY ALL"
+    for name, rules, table in (
+        ("PERSONA", _PERSON_RULES, "per_typed"),
+        ("EMPRESA", _COMPANY_RULES, "emp_text"),
+        ("TRANSACCION", _FACT_RULES, "tr_typed"),
+    )
+)
+_REJECTED = f"""SELECT *, {_motives(_FACT_RULES)} AS motivos, (SELECT count(*) FROM tr) AS aceptadas
+FROM tr_typed WHERE {_motives(_FACT_RULES)} IS NOT NULL"""
+
+_DAMAGE = """damaged AS (
+  SELECT * EXCLUDE (i) REPLACE (MONTO_TRANSACCION +
+    CASE WHEN ID_PERSONA % 97 = 2 THEN 1 ELSE 0 END AS MONTO_TRANSACCION)
+  FROM s3, range(2) AS copies(i)
+  WHERE (ID_PERSONA IS NULL OR ID_PERSONA % 97 <> 0) AND (i = 0 OR ID_PERSONA % 97 = 1))"""
+_DIFFERENCES = """SELECT * EXCLUDE (sign), CAST(sum(sign) AS BIGINT) AS veces FROM (
+  SELECT *, -1 AS sign FROM s3 UNION ALL BY NAME SELECT *, 1 AS sign FROM damaged)
+GROUP BY ALL HAVING sum(sign) <> 0"""
+
 ORACLES: dict[str, str] = {
     "transaccion_enriquecida": _with(_FLAGSHIP, _GOLD),
     "typed_persona": _with(_PERSON_CTES, "SELECT * FROM per_typed"),
@@ -322,4 +395,9 @@ ORACLES: dict[str, str] = {
     "storage_report": _with(_EVENTS, _STORED_TABLES),
     "landing_declared": _with(_PERSON_CTES, "SELECT * FROM per_typed"),
     "incremental_rejects": _with(_EVENTS, _REJECTS),
+    "dimension_change": _with(_CHANGED, _GOLD),
+    "changed_dates": _with(_AGAIN_CTES, _CHANGED_DATES),
+    "quality_reasons": _with(_DIRTY, _REASONS),
+    "rejected_rows": _with(_EVENT_CTES, _REJECTED),
+    "document_export_content": _with((*_EVENTS, _DAMAGE), _DIFFERENCES),
 }

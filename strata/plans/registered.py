@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import lenient_int
+from strata.operators.changes import content_differences
 from strata.operators.checks import (
     chain_metrics,
     integrity_by_date,
@@ -19,13 +20,21 @@ from strata.operators.checks import (
     step_metrics,
 )
 from strata.operators.layout import partition_distribution
-from strata.operators.quality import apply_rules, audit_rows, quality_report, typed
+from strata.operators.quality import (
+    apply_rules,
+    audit_rows,
+    judged,
+    quality_reasons,
+    quality_report,
+    typed,
+)
 from strata.plans import roles
 from strata.plans.enrichment import enrich, with_employer, with_merchant, with_person
 from strata.plans.stages import (
     STEPS,
     Lake,
     functional_metrics,
+    run_changed,
     run_curated,
     run_exports,
     run_functional,
@@ -36,12 +45,35 @@ from strata.plans.stages import storage_report as storage_report_of
 from strata.plans.tables import register_layers
 from strata.scratch import scratch_path
 from strata.sinks import catalog
-from strata.sinks.exports import export_csv, export_documents, export_single_csv, verify_documents
-from strata.sinks.layers import DEFAULT_PARTITION, append_audit, unescaped, write_layer, write_raw
+from strata.sinks.exports import (
+    export_checked,
+    export_csv,
+    export_documents,
+    export_single_csv,
+    verify_documents,
+)
+from strata.sinks.layers import (
+    DEFAULT_PARTITION,
+    append_audit,
+    unescaped,
+    write_judged,
+    write_layer,
+    write_raw,
+)
 from strata.sources.avro import FORMAT as AVRO
 from strata.sources.delimited import INPUT_ENCODING, read_csv_export, read_raw
-from strata.sources.layers import read_documents, read_layer
-from strata.specs import AUDIT, EMPRESA, ENTITIES, GOLD, GOLD_PARTITION, PERSONA, TRANSACCION
+from strata.sources.layers import read_documents, read_judged, read_layer
+from strata.specs import (
+    ACCEPTED,
+    AUDIT,
+    EMPRESA,
+    ENTITIES,
+    GOLD,
+    GOLD_PARTITION,
+    PERSONA,
+    REJECTED,
+    TRANSACCION,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -575,6 +607,86 @@ def incremental_rejects(spark, sf_dir):
     )
 
 
+def _redelivered(lake: Lake, sources: dict[str, DataFrame]) -> None:
+    """A later delivery of some entities, as far as landing."""
+    specs = [s for s in ENTITIES if s.name in sources]
+    files = {name: scratch_path(lake.spark, "delivery") for name in sources}
+    for name, df in sources.items():
+        _deliver(df, files[name])
+    run_raw(lake, files, specs)
+    run_landing(lake, specs)
+
+
+def _followed(spark: SparkSession, sf_dir: str) -> Lake:
+    """The events as facts, landed whole and then run by what has changed."""
+    lake = _lake(spark, "followed")
+    _redelivered(
+        lake,
+        {
+            "PERSONA": roles.persona(spark, sf_dir),
+            "EMPRESA": roles.empresa(spark, sf_dir),
+            "TRANSACCION": roles.transaccion_dirty(spark, sf_dir),
+        },
+    )
+    run_changed(lake, FIRST_RUN)
+    return lake
+
+
+def dimension_change(spark, sf_dir):
+    """Gold after both dimensions were delivered anew and no transaction was: as if made whole."""
+    lake = _followed(spark, sf_dir)
+    persona, empresa = roles.persona_changed(spark, sf_dir), roles.empresa_changed(spark, sf_dir)
+    _redelivered(lake, {"PERSONA": persona, "EMPRESA": empresa})
+    run_curated(lake, SECOND_RUN, [PERSONA, EMPRESA])
+    run_functional(lake, mode="incremental", dates=[], follow_dimensions=True)
+    return lake.gold()
+
+
+def changed_dates(spark, sf_dir):
+    """Gold after a delivery in which one date has other amounts and one is gone, each row beside
+    the number of dates that were found changed."""
+    lake = _followed(spark, sf_dir)
+    day = F.dayofmonth(F.col("FECHA").cast("date"))
+    again = roles.transaccion_dirty(spark, sf_dir).where(day != 5)
+    again = again.withColumn("MONTO", F.when(day == 7, F.lit("1")).otherwise(F.col("MONTO")))
+    _redelivered(lake, {"TRANSACCION": again})
+    dates = run_changed(lake, SECOND_RUN)
+    return lake.gold().withColumn("fechas", F.lit(len(dates)))
+
+
+def quality_reasons_query(spark, sf_dir):
+    """How many rows of each entity fail which rules."""
+    return quality_reasons(_dirty(spark, sf_dir))
+
+
+def rejected_rows(spark, sf_dir):
+    """Rejected transactions with their reasons, beside the number of accepted ones: both were
+    written in one pass and are read apart."""
+    path = scratch_path(spark, "judged")
+    write_judged(judged(roles.transaccion_dirty(spark, sf_dir), TRANSACCION), path, partition_by="FECHA")
+    kept = read_judged(spark, path, TRANSACCION, ACCEPTED).agg(F.count("*").alias("aceptadas"))
+    return read_judged(spark, path, TRANSACCION, REJECTED).join(F.broadcast(kept))
+
+
+def document_export_content(spark, sf_dir):
+    """What a damaged set of documents differs in: rows lost, doubled and changed, by their count.
+
+    The undamaged set is exported first, which raises unless it holds what gold holds.
+    """
+    gold, keys = _gold_layer(spark, sf_dir), ["ID_PERSONA", GOLD_PARTITION]
+    path = scratch_path(spark, "documents")
+    export_checked(gold, path, keys)
+    copy = read_documents(spark, path, GOLD)
+    person = F.col("ID_PERSONA") % 97
+    changed = copy.where(person.isNull() | (person != 0)).withColumn(
+        "MONTO_TRANSACCION",
+        F.when(person == 2, F.col("MONTO_TRANSACCION") + 1).otherwise(F.col("MONTO_TRANSACCION")),
+    )
+    damaged = scratch_path(spark, "damaged")
+    export_documents(changed.unionByName(changed.where(person == 1)), damaged)
+    return content_differences(gold, read_documents(spark, damaged, GOLD), keys).drop("cubo")
+
+
 REGISTERED: dict[str, Query] = {
     "transaccion_enriquecida": transaccion_enriquecida,
     "typed_persona": typed_persona,
@@ -629,4 +741,9 @@ REGISTERED: dict[str, Query] = {
     "storage_report": storage_report,
     "landing_declared": landing_declared,
     "incremental_rejects": incremental_rejects,
+    "dimension_change": dimension_change,
+    "changed_dates": changed_dates,
+    "quality_reasons": quality_reasons_query,
+    "rejected_rows": rejected_rows,
+    "document_export_content": document_export_content,
 }

@@ -6,6 +6,9 @@ The dirty roles add bad numbers, blanks, empty text and missing keys by rule.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,6 +37,28 @@ def persona(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def persona_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later delivery of ``persona``: some renamed, some at another employer, some gone."""
+    number = "CAST(ID AS BIGINT)"
+    return (
+        persona(spark, sf_dir)
+        .where(f"{number} % 11 <> 5")
+        .withColumns(
+            {
+                "NOMBRE": F.expr(f"IF({number} % 7 = 3, concat(NOMBRE, ' II'), NOMBRE)"),
+                "ID_EMPRESA": F.expr(f"IF({number} % 13 = 2, '6', ID_EMPRESA)"),
+            }
+        )
+    )
+
+
+def empresa_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later delivery of ``empresa``: one renamed, one under another key."""
+    return empresa(spark, sf_dir).selectExpr(
+        "IF(ID = '9', 'Y9', ID) AS ID", "IF(ID = '7', concat(NOMBRE, ' SA'), NOMBRE) AS NOMBRE"
+    )
+
+
 def persona_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _person(
         spark,

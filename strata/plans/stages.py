@@ -11,16 +11,18 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.casts import lenient
+from strata.operators.changes import changed_keys, differing, partition_digests, values_of
 from strata.operators.checks import chain_metrics, integrity_check
 from strata.operators.checks import integrity_by_date as check_by_date
 from strata.operators.layout import lower_names
 from strata.operators.quality import apply_rules, audit_rows, stored_report
-from strata.plans.enrichment import enrich, small_dimensions
+from strata.plans.enrichment import COMPANY_COLUMNS, PERSON_COLUMNS, enrich, small_dimensions
 from strata.sinks.exports import export_csv, export_documents, require_rows, verify_documents
 from strata.sinks.catalog import stored_files
 from strata.sinks.layers import append_audit, stored_partitions, write_layer, write_raw
@@ -34,8 +36,11 @@ from strata.specs import AUDIT, EMPRESA, ENTITIES, GOLD, GOLD_PARTITION, PERSONA
 RAW, LANDING, CURATED, FUNCTIONAL = LAYERS = ("workload", "landing", "curated", "functional")
 GOLD_TABLE = "transaccion_enriquecida"
 AUDIT_TABLE = "auditoria_calidad"
+# What runs remember of each other.
+CONTROL = "control"
 # Labels of the enrichment steps.
 STEPS = ("con_persona", "con_trabajo", "con_comercio")
+_FOLLOWED = ((PERSONA, PERSON_COLUMNS), (EMPRESA, COMPANY_COLUMNS))
 
 
 @dataclass(frozen=True)
@@ -181,6 +186,7 @@ def run_functional(
     mode: str = "full",
     dates: Sequence[str | None] | None = None,
     by_date: bool = False,
+    follow_dimensions: bool = False,
 ) -> DataFrame:
     """Curated to gold, partitioned by date; returns the integrity check of what was stored.
 
@@ -188,8 +194,18 @@ def run_functional(
     the scan to the write, and the stage has no shuffle at all. ``dates`` limits an
     incremental run, and its check, to those partitions. As in ``run_curated`` each of them is
     replaced, even by nothing. ``by_date`` gives the check for each date.
+
+    ``follow_dimensions`` keeps what gold was made from of both dimensions, and has an incremental
+    run add the dates whose rows name a person or a company that has changed since. The other
+    dates are not read. Without it they keep the names of their own run. Where nothing is known
+    of an earlier run, all dates are made.
     """
     _require_incremental(mode, dates)
+    if follow_dimensions and mode == "incremental":
+        if dates is None:
+            raise ValueError("name the dates of the delivery, or none, to follow dimensions")
+        behind = dates_behind(lake)
+        mode, dates = ("full", None) if behind is None else (mode, {*dates, *behind})
     persona, empresa = lake.curated(PERSONA), lake.curated(EMPRESA)
     path = lake.path(CURATED, TRANSACCION.name)
     scope = _scope(lake.spark, path, TRANSACCION, mode, dates)
@@ -204,10 +220,76 @@ def run_functional(
         clustered=all(small),
         scope=scope,
     )
+    if follow_dimensions:
+        for spec, columns in _FOLLOWED:
+            used = lake.curated(spec).select(*columns)
+            write_layer(used, lake.path(CONTROL, f"gold_{spec.name}"))
     check = check_by_date if by_date else integrity_check
     return check(transaccion, lake.gold(scope))
 
 
+def dates_behind(lake: Lake) -> list[str | None] | None:
+    """Dates of the curated fact whose gold was made from other persons or companies than now.
+
+    None if no run has kept what it was made from. Snapshots are compared as bags of rows; a
+    person also changes with the employer's name.
+    """
+    before = {}
+    for spec, columns in _FOLLOWED:
+        schema = StructType([spec.curated[c] for c in columns])
+        path = lake.path(CONTROL, f"gold_{spec.name}")
+        found = _if_stored(lake.spark, path, schema)
+        if found is None:
+            return None
+        before[spec.name] = found
+    fact, persons = lake.curated(TRANSACCION), lake.curated(PERSONA).select(*PERSON_COLUMNS)
+    companies = lake.curated(EMPRESA).select(*COMPANY_COLUMNS)
+    firms = changed_keys(before["EMPRESA"], companies, "ID")
+    employed = values_of(persons, "ID_EMPRESA", firms, "ID", "ID").where("ID IS NOT NULL")
+    people = changed_keys(before["PERSONA"], persons, "ID").unionByName(employed)
+    date = TRANSACCION.partition_by
+    found = values_of(fact, "ID_PERSONA", people, "ID", date).unionByName(
+        values_of(fact, "ID_EMPRESA", firms, "ID", date)
+    )
+    return [r[0] for r in found.distinct().collect()]
+
+
+def run_changed(lake: Lake, executed_at: str, strategy: str = "broadcast") -> list[str | None]:
+    """Curated and functional for the dates whose landing has changed since the last such run.
+
+    Landing's digest per date lies in the control folder; it is replaced last, so a run that
+    failed is done again. Dates that landing has lost are emptied. Returns the changed dates;
+    those that a changed dimension adds to gold are not among them.
+    """
+    spec = TRANSACCION
+    by, path = spec.partition_by.lower(), lake.path(CONTROL, f"landing_{TRANSACCION.name}")
+    now = partition_digests(lake.landing(spec), by)
+    # Written apart, so that what is compared and what is kept are the same.
+    write_layer(now, f"{path}_next")
+    after = read_layer(lake.spark, f"{path}_next", now.schema)
+    before = _if_stored(lake.spark, path, now.schema)
+    if before is None:
+        dates = [r[0] for r in after.select("particion").collect()]
+        run_curated(lake, executed_at)
+        run_functional(lake, strategy=strategy, follow_dimensions=True)
+    else:
+        dates = [r[0] for r in differing(before, after, "particion").select("particion").collect()]
+        how = {"mode": "incremental", "dates": dates}
+        run_curated(lake, executed_at, **how)
+        run_functional(lake, strategy=strategy, follow_dimensions=True, **how)
+    write_layer(after, path)
+    return dates
+
+
+def _if_stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    try:
+        return read_layer(spark, path, schema)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def functional_metrics(lake: Lake, dates: Sequence[str | None] | None = None) -> DataFrame:
     """What a functional run did, from the stored layers: the metrics of each enrichment step,
     with the rows and the partitions that gold has (filas_gold, particiones_gold).

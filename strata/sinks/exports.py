@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.files import join_files
+from strata.files import file_system, join_files
+from strata.operators.changes import content_differences
 from strata.sources.layers import read_documents
 
 
@@ -52,6 +57,43 @@ def export_documents(
     writer.save(path) if path else writer.save()
 
 
+class DifferentContent(ValueError):
+    """Documents that do not say what they were made from."""
+
+
+def export_checked(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    *,
+    fmt: str = "json",
+    options: dict[str, str] | None = None,
+) -> None:
+    """Documents at ``path`` only once they have been read back and hold what ``df`` holds.
+
+    They are written beside the target, compared by content and moved in whole; the former ones
+    stay until then, and a failed run leaves them. Raises ``DifferentContent`` otherwise.
+    """
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    target = {"fmt": fmt, "options": options}
+    export_documents(df, staged, **target)
+    copy = read_documents(df.sparkSession, staged, df.schema, **target)
+    wrong = content_differences(df, copy, keys).groupBy("cubo").agg(F.count("*").alias("n"))
+    found = wrong.orderBy("cubo").limit(10).collect()
+    system, new = file_system(staged)
+    if found:
+        system.delete_dir(new)
+        buckets = ", ".join(str(r["cubo"]) for r in found)
+        raise DifferentContent(f"documents differ from their source in the buckets {buckets}")
+    _, old = file_system(path)
+    if system.get_file_info(old).type != fs.FileType.NotFound:
+        system.move(old, f"{new}.old")
+        system.move(new, old)
+        system.delete_dir(f"{new}.old")
+    else:
+        system.move(new, old)
+
+
 def verify_documents(
     df: DataFrame,
     path: str | None,

@@ -80,6 +80,17 @@ def write_layer(
         _drop_stale(before, _listed(spark, path, partition_by, wanted))
 
 
+def write_judged(df: DataFrame, path: str, *, partition_by: str | None = None) -> None:
+    """Accepted and rejected rows (``operators.quality.judged``) in one pass, each under a
+    folder of its verdict; ``read_judged`` then reads one side without the other."""
+    out = df.select(*partition_last([c for c in df.columns if c != "veredicto"], partition_by), "veredicto")
+    by = ["veredicto", *([partition_by] if partition_by else [])]
+    if partition_by is not None:
+        out = out.hint("rebalance", *by)
+    writer = out.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*by)
+    writer.parquet(path)
+
+
 def stored_partitions(
     spark: SparkSession,
     path: str,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.sources import avro
+from strata.specs import REJECTED, TableSpec
 
 
 def read_layer(
@@ -37,6 +38,14 @@ def read_layer(
     return df if partition_by is None or only is None else df.where(among(partition_by, only))
 
 
+def read_judged(spark: SparkSession, path: str, spec: TableSpec, verdict: str) -> DataFrame:
+    """One side of what ``write_judged`` wrote, rejected rows with their motivos."""
+    schema = spec.curated.add("motivos", "string").add("veredicto", "string")
+    df = read_layer(spark, path, schema, partition_by="veredicto", only=[verdict])
+    own = [*spec.curated.fieldNames(), *(["motivos"] if verdict == REJECTED else [])]
+    return df.select(*own)
+
+
 def among(column: str, values: Sequence[str | None]) -> Column:
     """Whether a column has one of the values, NULL among them if it is named."""
     named = F.col(column).isin([v for v in values if v is not None])

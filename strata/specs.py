@@ -52,6 +52,9 @@ GOLD = StructType(
 )
 GOLD_PARTITION = "FECHA_TRANSACCION"
 
+# The verdicts on a row.
+ACCEPTED, REJECTED = "aceptada", "rechazada"
+
 AUDIT = StructType(
     [
         StructField("calidad_pct", DoubleType()),
