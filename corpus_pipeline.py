@@ -3,6 +3,10 @@
 Each stage takes what its predecessor kept, written as Parquet and read again, so a lost
 executor costs a stage at most. The classifiers learn from ``documents`` and ``labels`` of the
 folder, whatever the stage's own input still holds of them.
+
+Missing texts are empty ones, rows without doc_id are judged by their text and stay in near
+deduplication, repeated rows are exact copies of which one stays, further columns come through as
+they are under any name, and an empty table gives no rows.
 """
 
 from __future__ import annotations

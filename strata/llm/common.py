@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, lengthened until no column of ``df`` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read again: lineage ends, retries agree."""
     path = scratch_path(df.sparkSession, purpose)

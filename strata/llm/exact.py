@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import HOT_ONE_IN, attach, stored
+from strata.llm.common import HOT_ONE_IN, attach, stored, unused_name
 
 BLOCK_CHARS = 2048
 _NAMED = "row long, pos long, blocks long, doc_id long, sha256 string, name long"
@@ -72,18 +72,22 @@ def duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all its columns as they were."""
+    """``docs`` with one row of each group of equal texts, all its columns as they were.
+
+    The hash that finds the rows again has a name that no column has, whatever its case.
+    """
     judged = stored(
         duplicates(docs, block_chars).where("kept").select("doc_id", "text_sha256"), "kept"
     )
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    rows = docs.withColumn("_sha", sha)
+    name = unused_name(docs, "_sha")
+    rows = docs.withColumn(name, sha)
     same = rows["doc_id"].cast("bigint").eqNullSafe(judged["doc_id"]) & (
-        rows["_sha"] == judged["text_sha256"]
+        rows[name] == judged["text_sha256"]
     )
     out = rows.join(judged, same, "left_semi")
     if docs.count() != judged.count() and _repeats(docs):
-        out = out.dropDuplicates(["doc_id", "_sha"])
+        out = out.dropDuplicates(["doc_id", name])
     return out.select(*docs.columns)
 
 

@@ -14,7 +14,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.labelled import fit_in_task, held_out, training_sample
@@ -32,7 +32,8 @@ _MARKS = 3
 # Weight of a mark against a text's trigrams, whose weights have norm 1.
 _MARK_WEIGHT = 1.5
 _BLOCK = 256
-_WORDS_AT_ONCE = 20_000
+# Decimal places of a cosine; single-precision sums are good for about six.
+_PLACES = 5
 _BYTES_AT_ONCE = 1 << 20
 
 
@@ -60,15 +61,23 @@ def _marks(text: str, raw: np.ndarray) -> tuple[float, float, float]:
     upper = np.count_nonzero((raw >= 65) & (raw <= 90)) / size
     plain = ((raw | 32) >= 97) & ((raw | 32) <= 122) | (raw >= 128) | (raw <= 32)
     other = 1 - np.count_nonzero(plain) / size
+    return _repeated(text), min(upper * 2, 1.0), min(other * 4, 1.0)
+
+
+def _repeated(text: str) -> float:
+    """The share of words that begin a run of three met before in the text, or double another.
+
+    Words and runs are compared by 64-bit hashes, so a long text takes eight bytes a word.
+    """
     found = text.split()
-    repeated = 0
-    for at in range(0, len(found), _WORDS_AT_ONCE):
-        some = found[at : at + _WORDS_AT_ONCE]
-        runs = max(len(some) - 2, 0)
-        again = runs - len(set(zip(some, some[1:], some[2:], strict=False)))
-        doubled = sum(map(str.__eq__, some[1:], some))
-        repeated += max(again, min(2 * doubled, len(some)))
-    return repeated / max(len(found), 1), min(upper * 2, 1.0), min(other * 4, 1.0)
+    if not found:
+        return 0.0
+    word = np.fromiter(map(hash, found), np.int64, len(found)).view(np.uint64)
+    runs = word[:-2] * np.uint64(0x9E3779B97F4A7C15)
+    runs = (runs ^ word[1:-1]) * np.uint64(0xD6E8FEB86659FD93) ^ word[2:]
+    again = len(runs) - len(np.unique(runs))
+    doubled = int(np.count_nonzero(word[1:] == word[:-1]))
+    return max(again, min(2 * doubled, len(word))) / len(word)
 
 
 def _weighted(rows: np.ndarray, rarity: np.ndarray) -> np.ndarray:
@@ -116,8 +125,9 @@ def train(texts: list[str], labels: np.ndarray, *, seed: int = 5) -> dict[str, n
 def vote(model: dict[str, np.ndarray], texts: list[str | None]) -> np.ndarray:
     """The score of each text: its nearest labelled vectors' labels, weighted by similarity.
 
-    Neighbours at equal cosine are taken in the order of the sample. Where no neighbour has a
-    positive cosine, as for an empty text, all labelled rows vote alike.
+    Cosines count to five places; neighbours at equal ones are taken in the order of the sample.
+    Every block has the same shape, so a text's cosines do not depend on the texts beside it.
+    Where no neighbour has a positive cosine, as for an empty text, all labelled rows vote alike.
     """
     vectors, labels = model["vectors"], model["labels"].astype(np.float64)
     if not len(labels):
@@ -125,14 +135,19 @@ def vote(model: dict[str, np.ndarray], texts: list[str | None]) -> np.ndarray:
     out = np.empty(len(texts))
     k = min(NEIGHBOURS, len(labels))
     for at in range(0, len(texts), _BLOCK):
-        rows = term_rows(texts[at : at + _BLOCK])
+        some = texts[at : at + _BLOCK]
+        rows = np.zeros((_BLOCK, TERMS + _MARKS), np.float32)
+        rows[: len(some)] = term_rows(some)
         own = _unit(_weighted(rows, model["rarity"]) @ model["axes"])
-        cosine = own @ vectors.T
-        nearest = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, nearest, axis=1), 0).astype(np.float64)
-        total = weight.sum(axis=1)
-        votes = (weight * labels[nearest]).sum(axis=1)
-        alike = np.full(len(rows), labels.mean())
+        cosine = np.round((own @ vectors.T)[: len(some)], _PLACES)
+        least = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+        above, equal = cosine > least, cosine == least
+        places = k - above.sum(axis=1, keepdims=True)
+        chosen = above | equal & (np.cumsum(equal, axis=1) <= places)
+        weight = np.where(chosen, np.maximum(cosine, 0), 0).astype(np.float64)
+        # Sums go in the order of the sample, whatever else is in the block.
+        total, votes = weight.sum(axis=1), (weight * labels).sum(axis=1)
+        alike = np.full(len(some), labels.mean())
         out[at : at + _BLOCK] = np.divide(votes, total, out=alike, where=total > 0)
     return np.clip(out, 0, 1)
 
@@ -142,16 +157,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict[
     return fit_in_task(training_sample(docs, labels, "quality", per_class), train)
 
 
-def with_score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """``docs`` with ``score``, the weighted vote on the whole text, empty if null."""
+def score(docs: DataFrame, model: dict[str, np.ndarray]) -> Column:
+    """The weighted vote on the whole ``text`` of ``docs``, empty if null."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     votes = partial(_votes, shared)
 
     @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
+    def scored(text: pd.Series) -> pd.Series:
         return pd.Series(votes(text.tolist()), dtype="float64")
 
-    return docs.withColumn("score", score(F.col("text")))
+    return scored(F.col("text"))
 
 
 def _votes(shared, texts: list[str | None]) -> np.ndarray:
@@ -164,7 +179,7 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     A missing text is empty; an empty one has no direction, so all labelled rows vote on it
     alike. Repeated rows have equal scores. Without labelled rows every score is one half.
     """
-    scored = with_score(docs.select("doc_id", "text"), fit(docs, labels, per_class))
+    scored = docs.select("doc_id", score(docs, fit(docs, labels, per_class)).alias("score"))
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
@@ -174,7 +189,8 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
 
 
 def drop_poor(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, all columns as they were."""
-    clash = docs.withColumnRenamed("score", "_own_score") if "score" in docs.columns else docs
-    kept = with_score(clash, model).where(F.col("score") >= THRESHOLD).drop("score")
-    return kept.withColumnRenamed("_own_score", "score")
+    """The rows of ``docs`` that are not rejected, all columns as they were.
+
+    The score is part of the filter and never a column, so no name can clash with it.
+    """
+    return docs.where(score(docs, model) >= THRESHOLD)

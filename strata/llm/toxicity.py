@@ -14,13 +14,13 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from array import array
 from collections import Counter
-from functools import partial
+from collections.abc import Iterable
+from functools import cache, partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.labelled import fit_in_task, held_out, training_sample
@@ -48,14 +48,58 @@ NGRAMS = (3, 4, 5)
 _WORD = re.compile(r"\w+")
 _WORDS_KNOWN = 100_000
 _LONGEST_KNOWN = 40
-
-
-def buckets(word: str, size: int = BUCKETS) -> list[int]:
-    """The buckets of a word: its n-grams between end marks, and the whole of it."""
-    marked = f"<{word}>"
-    grams = [marked[i : i + n] for n in NGRAMS for i in range(len(marked) - n + 1)]
-    grams.append(marked)
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % size for g in grams]
+# Characters of text whose new words are hashed together; a longer text is taken alone.
+_CHARS_AT_ONCE = 1_000_000
+# Runs of more bytes are hashed one by one.
+_BYTES_TOGETHER = 64
+# Fixed value: the reflected polynomial of crc32.
+_POLYNOMIAL = 0xEDB88320
+
+
+@cache
+def _crc_table() -> np.ndarray:
+    """What a byte makes of a crc32, from its polynomial."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> np.uint32(1)) ^ np.where(table & 1, np.uint32(_POLYNOMIAL), np.uint32(0))
+    return table
+
+
+def crc32s(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """crc32 of many runs of bytes, the k-th byte of all runs at once."""
+    table, size = _crc_table(), end - start
+    out = np.full(len(start), 0xFFFFFFFF, np.uint32)
+    for k in range(min(int(size.max(initial=0)), _BYTES_TOGETHER)):
+        live = np.flatnonzero(size > k)
+        crc = out[live]
+        out[live] = table[(crc ^ raw[start[live] + k]) & np.uint32(255)] ^ (crc >> np.uint32(8))
+    out ^= np.uint32(0xFFFFFFFF)
+    for i in np.flatnonzero(size > _BYTES_TOGETHER):
+        out[i] = zlib.crc32(raw[start[i] : end[i]])
+    return out
+
+
+def buckets(found: list[str], size: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """All buckets of some words, and the number of the word that each belongs to.
+
+    A word has its n-grams between end marks, those that fit, and the whole of it.
+    """
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    text = "".join([f"<{w}>" for w in found])
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    # Where each character begins, and the end.
+    char = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))
+    length = np.fromiter(map(len, found), np.int64, len(found)) + 2
+    last = np.cumsum(length)
+    own = np.repeat(np.arange(len(found)), length)
+    left = last[own] - np.arange(len(own))
+    codes, owners = [crc32s(raw, char[last - length], char[last])], [np.arange(len(found))]
+    for n in NGRAMS:
+        at = np.flatnonzero(left >= n)
+        codes.append(crc32s(raw, char[at], char[at + n]))
+        owners.append(own[at])
+    return (np.concatenate(codes) % np.uint32(size)).astype(np.int64), np.concatenate(owners)
 
 
 def words(text: str) -> list[str]:
@@ -72,8 +116,7 @@ def train(texts: list[str], labels: np.ndarray, *, seed: int = 11) -> dict[str,
     if share in (0.0, 1.0):
         bias = np.array([20.0 if share else -20.0])
         return {"weights": np.zeros(BUCKETS, np.float32), "bias": bias}
-    known: dict[str, array] = {}
-    bags = [_bag(t, known) for t in texts]
+    bags = [_bag(t) for t in texts]
     touched = np.zeros(BUCKETS, np.int64)
     for ids, _ in bags:
         touched[ids] += 1
@@ -114,24 +157,15 @@ def _descend(bags, labels, chosen, n: int, epochs: int, seed: int) -> tuple[np.n
     return vectors @ (layer[:, 1] - layer[:, 0]) * SCALE, float(bias[1] - bias[0])
 
 
-def _bag(text: str, known: dict[str, array]) -> tuple[np.ndarray, np.ndarray]:
+def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """A text's buckets and the share of each in its average."""
     counts = Counter(words(text))
-    if not counts:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    if len(known) > _WORDS_KNOWN:
-        known.clear()
-    own = []
-    for word in counts:
-        ids = known.get(word)
-        if ids is None:
-            ids = known[word] = array("i", buckets(word))
-        own.append(ids)
-    often = np.repeat(list(counts.values()), [len(ids) for ids in own])
-    total = np.bincount(np.concatenate(own), often, BUCKETS)
-    ids = np.flatnonzero(total)
-    share = total[ids] / (often.sum() + PADDING)
-    return ids.astype(np.int32), share.astype(np.float32)
+    ids, owner = buckets(list(counts))
+    often = np.fromiter(counts.values(), np.int64, len(counts))[owner]
+    total = np.bincount(ids, often, BUCKETS)
+    used = np.flatnonzero(total)
+    share = total[used] / (often.sum() + PADDING)
+    return used.astype(np.int32), share.astype(np.float32)
 
 
 def _step(vectors, layer, bias, seen, rows, labels, rate) -> None:
@@ -155,29 +189,54 @@ class Scorer:
     """Scores of texts under a trained model, each distinct word looked up once for a while."""
 
     def __init__(self, weights: np.ndarray, bias: np.ndarray):
-        self._weights = weights.tolist()
+        self._weights = weights.astype(np.float64)
         self._bias = float(bias[0])
         # A word's sum of weights, and its number of n-grams as the imaginary part: one sum
         # over a text's words then gives both.
         self._known = Known(_WORDS_KNOWN)
 
-    def _value(self, word: str) -> complex:
-        known = self._known.young.get(word) or self._known.older(word)
-        if known is None:
-            ids = buckets(word)
-            known = complex(sum(map(self._weights.__getitem__, ids)), len(ids))
+    def score(self, text: str | None) -> float:
+        return float(self.scores([text])[0])
+
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        out, run, size = [], [], 0
+        for text in texts:
+            run.append(text or "")
+            size += len(run[-1])
+            if size >= _CHARS_AT_ONCE:
+                out += self._run(run)
+                run, size = [], 0
+        logits = np.array(out + self._run(run), np.float64)
+        return 1 / (1 + np.exp(-np.clip(logits, -60, 60)))
+
+    def _run(self, texts: list[str]) -> list[float]:
+        found = [words(t) for t in texts]
+        # What is remembered may be replaced as words are met, so the run keeps what it needs.
+        known, young, now = self._known, self._known.young, {}
+        missing = []
+        for word in set().union(*found).difference(young):
+            value = known.older(word)
+            if value is None:
+                missing.append(word)
+            else:
+                now[word] = value
+        now.update(zip(missing, self._values(missing), strict=True))
+        logits = []
+        for own in found:
+            values = list(map(young.get, own))
+            if None in values:
+                values = [now[w] if v is None else v for w, v in zip(own, values, strict=True)]
+            total = sum(values)
+            logits.append(self._bias + (total.real / (total.imag + PADDING) if own else 0.0))
+        for word in missing:
             if len(word) <= _LONGEST_KNOWN:
-                self._known.put(word, known)
-        return known
+                known.put(word, now[word])
+        return logits
 
-    def score(self, text: str | None) -> float:
-        found = words(text or "")
-        values = list(map(self._known.young.get, found))
-        if None in values:
-            values = [self._value(w) if v is None else v for w, v in zip(found, values, strict=True)]
-        total = sum(values)
-        logit = self._bias + (total.real / (total.imag + PADDING) if values else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(logit, -60, 60))))
+    def _values(self, found: list[str]) -> list[complex]:
+        ids, owner = buckets(found)
+        sums = np.bincount(owner, self._weights[ids], len(found))
+        return (sums + 1j * np.bincount(owner, minlength=len(found))).tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict[str, np.ndarray]:
@@ -185,17 +244,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict[
     return fit_in_task(training_sample(docs, labels, "toxic", per_class), train)
 
 
-def with_score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """``docs`` with ``score``, the probability of toxicity of the whole text, empty if null."""
+def score(docs: DataFrame, model: dict[str, np.ndarray]) -> Column:
+    """The probability of toxicity of the whole ``text`` of ``docs``, empty if null."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scorer = partial(_scorer, uuid.uuid4().hex, shared)
 
     @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        own = scorer()
-        return pd.Series([own.score(t) for t in text], dtype="float64")
+    def scored(text: pd.Series) -> pd.Series:
+        return pd.Series(scorer().scores(text), dtype="float64")
 
-    return docs.withColumn("score", score(F.col("text")))
+    return scored(F.col("text"))
 
 
 _scorers: dict[str, Scorer] = {}
@@ -215,7 +273,7 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     A missing or empty text has the model's prior; repeated rows have equal scores. Without
     labelled rows of both classes every score is that of the class there is, of none 0.
     """
-    scored = with_score(docs.select("doc_id", "text"), fit(docs, labels, per_class))
+    scored = docs.select("doc_id", score(docs, fit(docs, labels, per_class)).alias("score"))
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
@@ -225,7 +283,8 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
 
 
 def drop_toxic(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, all columns as they were."""
-    clash = docs.withColumnRenamed("score", "_own_score") if "score" in docs.columns else docs
-    kept = with_score(clash, model).where(F.col("score") < THRESHOLD).drop("score")
-    return kept.withColumnRenamed("_own_score", "score")
+    """The rows of ``docs`` that are not predicted toxic, all columns as they were.
+
+    The score is part of the filter and never a column, so no name can clash with it.
+    """
+    return docs.where(score(docs, model) < THRESHOLD)
