@@ -335,6 +335,37 @@ _DIFFERENCES = """SELECT * EXCLUDE (sign), CAST(sum(sign) AS BIGINT) AS veces FR
   SELECT *, -1 AS sign FROM s3 UNION ALL BY NAME SELECT *, 1 AS sign FROM damaged)
 GROUP BY ALL HAVING sum(sign) <> 0"""
 
+_EMPLOYMENT = """history AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS ID,
+    DATE '2023-12-29' + CAST(c_custkey % 15 AS INTEGER) + [0, 8, 20][i] AS empleado_desde,
+    CASE WHEN i = 3 AND c_custkey % 4 = 0 THEN NULL
+      ELSE CAST((c_nationkey + i - 1) % 25 AS VARCHAR) END AS empleador
+  FROM customer, range(1, 4) AS states(i))"""
+_AS_OF = """SELECT tr.*, empleador, empleado_desde, empleado_desde IS NULL AS antes_de_ingreso
+FROM tr ASOF LEFT JOIN history ON tr.ID_PERSONA = history.ID
+  AND CAST(tr.FECHA AS DATE) >= history.empleado_desde"""
+
+_MERGED = """SELECT substr(FECHA_TRANSACCION, 1, 7) AS mes, count(*) AS filas,
+  round(avg(MONTO_TRANSACCION), 4) AS promedio, min(MONTO_TRANSACCION) AS minimo,
+  max(MONTO_TRANSACCION) AS maximo, count(DISTINCT ID_PERSONA) AS personas,
+  TRUE AS personas_cerca, TRUE AS mediana_cerca
+FROM s3 GROUP BY 1"""
+
+_CUBE = """SELECT FECHA_TRANSACCION, EMPRESA_TRANSACCION, TRABAJO_PERSONA,
+  CAST(GROUPING(FECHA_TRANSACCION, EMPRESA_TRANSACCION, TRABAJO_PERSONA) AS INTEGER) AS nivel,
+  count(*) AS filas, count(MONTO_TRANSACCION) AS importes,
+  round(sum(MONTO_TRANSACCION), 2) AS suma,
+  min(MONTO_TRANSACCION) AS minimo, max(MONTO_TRANSACCION) AS maximo,
+  count(DISTINCT ID_PERSONA) AS distintos
+FROM s3 GROUP BY CUBE (FECHA_TRANSACCION, EMPRESA_TRANSACCION, TRABAJO_PERSONA)"""
+
+_HASHED = " || ".join(
+    f"coalesce(length({c}) || ':' || {c}, '-')" for c in ("ID_PERSONA", "ID_EMPRESA", "MONTO", "FECHA")
+)
+_FAIR = f"""SELECT * EXCLUDE (place) FROM (
+  SELECT *, row_number() OVER (PARTITION BY FECHA ORDER BY md5({_HASHED})) AS place FROM tr_text)
+WHERE place <= 5"""
+
 ORACLES: dict[str, str] = {
     "transaccion_enriquecida": _with(_FLAGSHIP, _GOLD),
     "typed_persona": _with(_PERSON_CTES, "SELECT * FROM per_typed"),
@@ -399,5 +430,10 @@ ORACLES: dict[str, str] = {
     "changed_dates": _with(_AGAIN_CTES, _CHANGED_DATES),
     "quality_reasons": _with(_DIRTY, _REASONS),
     "rejected_rows": _with(_EVENT_CTES, _REJECTED),
+    "employer_as_of": _with((*_EVENT_CTES, _EMPLOYMENT), _AS_OF),
+    "merged_metrics": _with(_EVENTS, _MERGED),
+    "gold_cube": _with(_EVENTS, _CUBE),
+    "fair_sample": _with(_EVENT_CTES, _FAIR),
+    "landing_stream": _with(_EVENT_CTES, _LOWER_TRANSACCION),
     "document_export_content": _with((*_EVENTS, _DAMAGE), _DIFFERENCES),
 }

@@ -28,6 +28,15 @@ from strata.operators.quality import (
     quality_report,
     typed,
 )
+from strata.operators.summaries import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    cube,
+    fair_sample,
+    merged,
+    sketches,
+)
+from strata.operators.temporal import as_of
 from strata.plans import roles
 from strata.plans.enrichment import enrich, with_employer, with_merchant, with_person
 from strata.plans.stages import (
@@ -74,6 +83,7 @@ from strata.specs import (
     REJECTED,
     TRANSACCION,
 )
+from strata.streaming.landing import BATCH, landed, run_landing_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -687,6 +697,81 @@ def document_export_content(spark, sf_dir):
     return content_differences(gold, read_documents(spark, damaged, GOLD), keys).drop("cubo")
 
 
+# --- time, summaries, streams -----------------------------------------------------------
+
+
+def employer_as_of(spark, sf_dir):
+    """Each transaction with its person's employer on that day; those before the first are marked."""
+    fact = apply_rules(roles.transaccion_dirty(spark, sf_dir), TRANSACCION)
+    day, history = F.col("FECHA").cast("date"), roles.employment(spark, sf_dir)
+    history = history.withColumn("empleado_desde", F.col("desde"))
+    found = as_of(
+        fact,
+        history,
+        "ID_PERSONA",
+        day,
+        "ID",
+        "desde",
+        ["empleador", "empleado_desde"],
+        unit="week",
+        strategy="isolate",
+    )
+    return found.withColumn("antes_de_ingreso", F.col("empleado_desde").isNull())
+
+
+def merged_metrics(spark, sf_dir):
+    """Metrics by month from stored sketches by date; whether the estimates are as near to the
+    exact figures as their stated errors say (three standard errors for distinct persons)."""
+    gold, path = _gold_layer(spark, sf_dir), scratch_path(spark, "sketches")
+    month = F.substring(GOLD_PARTITION, 1, 7).alias("mes")
+    parts = sketches(gold, GOLD_PARTITION, "ID_PERSONA", "MONTO_TRANSACCION")
+    write_layer(parts, path)
+    metrics = merged(read_layer(spark, path, parts.schema), month)
+    amount = F.col("MONTO_TRANSACCION")
+    met = gold.select("ID_PERSONA", amount, month).join(F.broadcast(metrics), "mes")
+    exact = met.groupBy("mes").agg(
+        F.count_distinct("ID_PERSONA").alias("personas"),
+        F.avg((amount < F.col("cuantil_50")).cast("int")).alias("bajo"),
+        F.avg((amount <= F.col("cuantil_50")).cast("int")).alias("hasta"),
+    )
+    near = F.abs(F.col("distintos") - F.col("personas")) <= 3 * DISTINCT_ERROR * F.col("personas") + 1
+    ranked = (F.col("bajo") <= 0.5 + RANK_ERROR) & (F.col("hasta") >= 0.5 - RANK_ERROR)
+    return metrics.join(exact, "mes").select(
+        "mes",
+        "filas",
+        F.round("promedio", 4).alias("promedio"),
+        "minimo",
+        "maximo",
+        "personas",
+        near.alias("personas_cerca"),
+        ranked.alias("mediana_cerca"),
+    )
+
+
+def gold_cube(spark, sf_dir):
+    """Metrics of every subset of date, merchant and employer, distinct persons among them."""
+    keys = [GOLD_PARTITION, "EMPRESA_TRANSACCION", "TRABAJO_PERSONA"]
+    cells = cube(enrich(*_event_entities(spark, sf_dir)), keys, "ID_PERSONA", "MONTO_TRANSACCION")
+    # Amounts have two decimals, and so has their sum; an average is that of sums in any order.
+    return cells.withColumn("suma", F.round("suma", 2)).drop("promedio")
+
+
+def fair_sample_query(spark, sf_dir):
+    """Five transactions of every date, those of least hash."""
+    return fair_sample(roles.transaccion_dirty(spark, sf_dir), "FECHA", 5)
+
+
+def landing_stream(spark, sf_dir):
+    """The fact landed as a stream of files, in two runs of several batches."""
+    lake, deliveries = _lake(spark, "stream"), scratch_path(spark, "deliveries")
+    fact = roles.transaccion_dirty(spark, sf_dir)
+    late = F.dayofmonth(F.col("FECHA").cast("date")) > 20
+    for part, name in ((fact.where(~late), "a"), (fact.where(late), "b")):
+        _deliver(part.repartition(4), f"{deliveries}/{name}")
+        run_landing_stream(lake, TRANSACCION, f"{deliveries}/*", files_per_batch=3)
+    return landed(lake, TRANSACCION).drop(BATCH)
+
+
 REGISTERED: dict[str, Query] = {
     "transaccion_enriquecida": transaccion_enriquecida,
     "typed_persona": typed_persona,
@@ -746,4 +831,9 @@ REGISTERED: dict[str, Query] = {
     "quality_reasons": quality_reasons_query,
     "rejected_rows": rejected_rows,
     "document_export_content": document_export_content,
+    "employer_as_of": employer_as_of,
+    "merged_metrics": merged_metrics,
+    "gold_cube": gold_cube,
+    "fair_sample": fair_sample_query,
+    "landing_stream": landing_stream,
 }

@@ -59,6 +59,23 @@ def empresa_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def employment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' employers over time: three each, the last of some unknown."""
+    first = "date_add(DATE '2023-12-29', CAST(c_custkey % 15 AS INT))"
+    states = [
+        f"struct(date_add({first}, {days}) AS desde, {employer} AS empleador)"
+        for days, employer in (
+            (0, "CAST(c_nationkey AS STRING)"),
+            (8, "CAST((c_nationkey + 1) % 25 AS STRING)"),
+            (20, "IF(c_custkey % 4 = 0, NULL, CAST((c_nationkey + 2) % 25 AS STRING))"),
+        )
+    ]
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS ID", f"explode(array({', '.join(states)})) AS estado"
+    )
+    return rows.select("ID", "estado.desde", "estado.empleador")
+
+
 def persona_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _person(
         spark,
