@@ -212,6 +212,67 @@ def test_vector_links_equal_brute_force(spark, most_homes):
     assert (found[None].n_links, found[None].component_id, found[None].kept) == (0, None, False)
 
 
+def _brute(data):
+    """Links and components of (vec_id, vector, label) by all cosines."""
+    keys, degree, pairs = {}, Counter(), []
+    for i, v, label in data:
+        keys.setdefault((label, len(v)), []).append((i, np.array(v, np.float64)))
+    for own in keys.values():
+        x = np.vstack([v / np.linalg.norm(v) for _, v in own])
+        ids = [i for i, _ in own]
+        for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 0.93, 1)), strict=True):
+            pairs.append((ids[a], ids[b]))
+            degree.update((ids[a], ids[b]))
+    return degree, pairs
+
+
+def _planted(kind, rng, n=1500, width=64):
+    x = rng.standard_normal((n, width))
+    if kind == "common direction":
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        x = x * np.sqrt(0.1) + np.sqrt(0.9) * np.eye(width)[0]
+    if kind == "one cluster":
+        x[: n // 3] = x[0] + 0.2 * x[: n // 3]
+    near = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = near + rng.uniform(0.0, 0.4, (n, 1)) * rng.standard_normal((n, width)) / np.sqrt(width)
+    return np.vstack([x, near]).astype(np.float32)
+
+
+@pytest.mark.parametrize("kind", ["spread", "common direction", "one cluster", "two widths"])
+def test_links_are_found_whatever_the_vectors_share(spark, kind):
+    rng = np.random.default_rng(17)
+    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(_planted(kind, rng))]
+    if kind == "two widths":
+        rows += [(len(rows) + i, v.tolist(), i % 2) for i, v in enumerate(_planted(kind, rng, 400, 24))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(6)
+    found = {r.vec_id: r for r in itq.near_duplicates(df, most_homes=700).collect()}
+    degree, pairs = _brute([(i, np.array(v, np.float32), label) for i, v, label in rows])
+    wanted, got = sum(degree.values()), sum(r.n_links for r in found.values())
+    assert len(found) == len(rows) and wanted > 500
+    assert 0.95 * wanted <= got <= wanted
+    assert all(r.n_links <= degree[i] for i, r in found.items())
+
+
+def test_labels_of_many_lanes_are_dealt_by_their_codes(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((2500, 64))
+    near = x[:1200] + rng.uniform(0.05, 0.35, (1200, 1)) * rng.standard_normal((1200, 64))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.vstack([x, near]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r for r in itq.near_duplicates(df, most_homes=200, most_lanes=4).collect()}
+    degree, pairs = _brute(rows)
+    wanted, got = sum(degree.values()), sum(r.n_links for r in found.values())
+    assert wanted > 1000 and 0.95 * wanted <= got <= wanted
+    assert all(r.n_links <= degree[i] for i, r in found.items())
+
+
+def test_very_long_and_short_vectors_have_cosines_too(spark):
+    data = [(1, [1e300, 1e300]), (2, [1.0, 1.0]), (3, [1e-300, 1e-300]), (4, [1.0, -1.0]), (5, [1.0]), (6, [2.0]), (7, [])]
+    df = spark.createDataFrame([(*r, 0) for r in data], "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in itq.near_duplicates(df).collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5), 7: (0, 7)}
+
+
 def test_no_usable_vectors(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert itq.near_duplicates(spark.createDataFrame([], schema)).collect() == []
@@ -223,7 +284,7 @@ def test_codes_are_balanced_and_near_for_near_vectors(spark):
     rng = np.random.default_rng(9)
     x = rng.standard_normal((2000, 32))
     sample = spark.createDataFrame([(v.tolist(),) for v in x], "vector array<double>")
-    mean, projection = itq._fit(sample)
+    mean, projection, *_ = itq._fit(sample)
     codes = itq.encode(x, mean, projection)
     ones = np.unpackbits(codes.view(np.uint8).reshape(-1, 8), axis=1).mean(axis=0)
     assert (np.abs(ones - 0.5) < 0.1).all()
