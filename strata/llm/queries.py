@@ -251,30 +251,42 @@ ORACLES: dict[str, str] = {
       FROM bits""",
     "op5_tool_calls": """
       WITH a AS (
-        SELECT conv_id, turn, arg_min(text, CASE turn % 4
-            WHEN 1 THEN to_json({'query': text, 'limit': length(text)}) ELSE to_json(text) END) AS text
-        FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn),
+        SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY CASE turn % 4
+            WHEN 1 THEN to_json({'query': text, 'limit': length(text)}) ELSE to_json(text) END) AS copy
+        FROM conversations WHERE role = 'assistant'),
       runs AS (
         SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
-        FROM a),
+        FROM a WHERE copy = 1),
+      placed AS (
+        SELECT conv_id, turn, text,
+          row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level
+        FROM runs
+        UNION ALL SELECT conv_id, turn, text, NULL FROM a WHERE copy > 1),
       calls AS (
-        SELECT conv_id, turn AS seq, conv_id || '-' || turn AS call_id,
-          row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level,
+        SELECT conv_id, turn AS seq, conv_id || '-' || turn AS call_id, level,
           CASE turn % 4 WHEN 1 THEN 'search' WHEN 0 THEN 'translate' ELSE 'reply' END AS name,
-          CASE turn % 4
-            WHEN 1 THEN '{"limit":' || length(text) || ',"query":' || to_json(text) || '}'
-            WHEN 3 THEN '{"text":' || to_json(text) || ',"urgent":' || to_json(conv_id % 2 = 0) || '}'
+          CASE WHEN level IS NULL THEN NULL WHEN turn % 4 = 1
+            THEN '{"limit":' || length(text) || ',"query":' || to_json(text) || '}'
+            WHEN turn % 4 = 3
+            THEN '{"text":' || to_json(text) || ',"urgent":' || to_json(conv_id % 2 = 0) || '}'
             END AS arguments,
-          CASE turn % 4 WHEN 0 THEN 'name: unknown tool'
-            WHEN 2 THEN 'text: missing; urgent: not boolean; words: not allowed' END AS problems
-        FROM runs),
+          nullif(concat_ws('; ', CASE WHEN level IS NULL THEN 'call_id: repeated' END,
+            CASE turn % 4 WHEN 0 THEN 'name: unknown tool'
+              WHEN 2 THEN 'text: missing; urgent: not boolean; words: not allowed' END), '')
+            AS problems
+        FROM placed),
       results AS (
-        SELECT conv_id || '-' || (turn - 1) AS result_id, min(text) AS result
-        FROM conversations WHERE role <> 'assistant' OR role IS NULL GROUP BY 1),
+        SELECT conv_id || '-' || (turn - 1) AS result_id, text AS result,
+          row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) AS copy
+        FROM conversations WHERE role <> 'assistant' OR role IS NULL),
       met AS (
-        SELECT * EXCLUDE (call_id, problems), coalesce(call_id, result_id) AS call_id,
+        SELECT * EXCLUDE (call_id, problems, copy), coalesce(call_id, result_id) AS call_id,
           CASE WHEN call_id IS NULL THEN 'call: missing' ELSE problems END AS problems
-        FROM calls FULL JOIN results ON call_id = result_id)
+        FROM (SELECT * FROM calls WHERE level IS NOT NULL)
+          FULL JOIN (SELECT * FROM results WHERE copy = 1) ON call_id = result_id
+        UNION ALL BY NAME SELECT * FROM calls WHERE level IS NULL
+        UNION ALL BY NAME SELECT result_id, result_id AS call_id, result,
+          'call_id: repeated' AS problems FROM results WHERE copy > 1)
       SELECT conv_id, level, seq, call_id, name, result_id IS NOT NULL AS answered, problems,
         '{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || to_json(call_id) ||
         ',"level":' || coalesce(CAST(level AS VARCHAR), 'null') ||

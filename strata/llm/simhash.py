@@ -155,6 +155,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, most_homes: int = MOST_
     """Links (a, b) that connect what is connected among distinct fingerprints (fp)."""
     if max_bits >= 2 * len(_PARTS):
         raise ValueError(f"at most {2 * len(_PARTS) - 1} bits can be covered")
+    if max_bits % 2:
+        # Crowded anchors go by points half way between two fingerprints, whatever the data.
+        raise ValueError("an odd number of bits has no middle")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, home, visitor in grouped_pairs(batches, _load):
@@ -210,8 +213,6 @@ def _by_balls(many: DataFrame, max_bits: int) -> DataFrame:
         return many.mapInArrow(of_batch, "point long, fp long, side byte")
 
     low, high = max_bits // 2, max_bits - max_bits // 2
-    if low != high:
-        raise ValueError("an odd number of bits has no middle")
     points = balls(low, 0)
     least = points.groupBy("point").agg(F.min("fp").alias("b"), F.count("*").alias("_size"))
     met = attach(points, stored(least, "balls"), ["point"], ["fp"])

@@ -24,37 +24,65 @@ KINDS = {
     "boolean": ("boolean", r"^BOOLEAN$"),
 }
 
+_CALL = ("conv_id", "seq", "name", "arguments", "parent_id")
+
 Schemas = Mapping[str, Mapping[str, tuple[str, bool]]]
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """One row per call identifier: call, result, level, problems and canonical JSON.
+    """One row per call, with its result: level, problems and canonical JSON.
 
     ``calls`` has conv_id, call_id, parent_id, seq (whole number), name and arguments (JSON
     text); ``results`` has call_id and content. ``schemas`` gives for each tool its fields:
     name -> (kind, required). The result is in topological order: by conversation and level,
     then seq, over as many tasks as it takes.
 
-    Rows that repeat an identifier are one: the least call, the least result. Rows without one
-    are left apart: calls keep level null and the problem "call_id: missing", results without
-    an identifier are not listed. A result nobody called has only a problem. A parent that does
-    not exist counts as none; calls on or behind a cycle have level null and "parent_id: cycle".
+    Of rows that repeat an identifier the least call meets the least result; each of the others is
+    a row of its own with the problem "call_id: repeated". Rows without an identifier are such
+    rows, too, with "call_id: missing". A result nobody called has "call: missing". A parent that
+    does not exist counts as none; calls on or behind a cycle have level null and
+    "parent_id: cycle". Only linked calls have a level.
     """
-    fields = ("conv_id", "seq", "name", "arguments", "parent_id")
-    known = calls.where("call_id IS NOT NULL").groupBy("call_id")
-    known = known.agg(F.min(F.struct(*fields)).alias("call"))
-    known = stored(known.select("call_id", "call.*"), "calls")
-    answers = results.where("call_id IS NOT NULL").groupBy("call_id")
-    answers = answers.agg(F.min("content").alias("result"), F.lit(True).alias("answered"))
+    calls, again = _apart(calls.select("call_id", *_CALL), "calls")
+    results, late = _apart(results.select("call_id", F.col("content").alias("result")), "results")
+    known = stored(calls, "known-calls")
+    answers = results.withColumn("answered", F.lit(True))
 
     met = known.withColumn("called", F.lit(True)).join(levels(known), "call_id", "left")
-    met = met.join(answers, "call_id", "full_outer")
-    anonymous = calls.where("call_id IS NULL").select("call_id", *fields)
-    met = met.unionByName(
-        anonymous.withColumn("called", F.lit(True)), allowMissingColumns=True
+    # Identifiers are unique on both sides by now, so no key of the hash join is hot.
+    met = met.join(answers.hint("shuffle_hash"), "call_id", "full_outer")
+    met = met.withColumn("alone", F.lit(None).cast("string"))
+    for rows in (again.withColumn("called", F.lit(True)), late.withColumn("answered", F.lit(True))):
+        met = met.unionByName(rows, allowMissingColumns=True)
+    # Rows are put in order before they are checked: bounds are sampled from the bare join.
+    order = [F.asc_nulls_last(c) for c in ("conv_id", "level", "seq", "call_id")]
+    met = met.repartitionByRange(*order).sortWithinPartitions(*order)
+    return canonical(met.withColumn("_parsed", F.expr("try_parse_json(arguments)")), schemas)
+
+
+def _apart(rows: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of distinct identifiers, and all others with ``alone``, the reason why.
+
+    Of rows that share an identifier the least is kept. They are told apart by a number that is
+    stored with them, and only where identifiers repeat; a hot one is spread over tasks.
+    """
+    others = [c for c in rows.columns if c != "call_id"]
+    named = rows.where("call_id IS NOT NULL")
+    missing = rows.where("call_id IS NULL").withColumn("alone", F.lit("call_id: missing"))
+    repeated = named.groupBy("call_id").agg(F.count("*").alias("_size")).where("_size > 1")
+    if repeated.isEmpty():
+        return named, missing
+    numbered = stored(named.withColumn("_row", F.monotonically_increasing_id()), purpose)
+    groups = numbered.groupBy("call_id").agg(
+        F.min(F.struct(*others, "_row")).alias("_least"), F.count("*").alias("_size")
     )
-    parsed = met.withColumn("_parsed", F.expr("try_parse_json(arguments)"))
-    return canonical(parsed, schemas)
+    groups = stored(groups, f"{purpose}-groups")
+    kept = groups.select("call_id", *[F.col(f"_least.{c}").alias(c) for c in others])
+    first = groups.select("call_id", "_size", F.col("_least._row").alias("_first"))
+    found = attach(numbered.select("call_id", "_row"), first, ["call_id"], ["_row"])
+    extra = numbered.join(found.where("_row <> _first").select("_row"), "_row", "left_semi")
+    extra = extra.drop("_row").withColumn("alone", F.lit("call_id: repeated"))
+    return kept, missing.unionByName(extra)
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -108,15 +136,16 @@ def canonical(linked: DataFrame, schemas: Schemas) -> DataFrame:
     unknown = F.coalesce(~F.col("name").isin(*schemas), F.lit(True))
     called = F.coalesce(F.col("called"), F.lit(False))
     found = (
-        F.when(~called, F.array(F.lit("call: missing")))
+        F.when(~called & F.col("alone").isNotNull(), F.array().cast("array<string>"))
+        .when(~called, F.array(F.lit("call: missing")))
         .when(unknown, F.array(F.lit("name: unknown tool")))
         .otherwise(problems)
     )
     lost = F.array_compact(
         F.array(
-            F.when(F.col("call_id").isNull(), F.lit("call_id: missing")),
+            F.col("alone"),
             F.when(
-                called & F.col("call_id").isNotNull() & F.col("level").isNull(),
+                called & F.col("alone").isNull() & F.col("level").isNull(),
                 F.lit("parent_id: cycle"),
             ),
         )
@@ -134,7 +163,7 @@ def canonical(linked: DataFrame, schemas: Schemas) -> DataFrame:
     ]
     parts = [F.concat(F.lit(f'"{key}":'), value) for key, value in members]
     message = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-    out = out.select(
+    return out.select(
         "conv_id",
         "level",
         "seq",
@@ -144,8 +173,6 @@ def canonical(linked: DataFrame, schemas: Schemas) -> DataFrame:
         F.when(~valid, F.array_join("_found", "; ")).alias("problems"),
         message.alias("message"),
     )
-    order = [F.asc_nulls_last(c) for c in ("conv_id", "level", "seq", "call_id")]
-    return out.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def _path(field: str) -> str:

@@ -212,6 +212,24 @@ def test_vector_links_equal_brute_force(spark, most_homes):
     assert (found[None].n_links, found[None].component_id, found[None].kept) == (0, None, False)
 
 
+@pytest.mark.parametrize("bits", [1, 3, 5, 6])
+def test_distances_that_cannot_be_covered_are_refused_at_any_size(spark, bits):
+    one = spark.createDataFrame([(1, "a few words of a text")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(one, max_bits=bits).collect()
+
+
+def test_a_text_of_very_many_shingles_has_the_fingerprint_of_a_plain_count(spark):
+    words = [f"w{i % 70_001}" for i in range(140_000)]
+    [row] = simhash.near_duplicates(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).collect()
+    ones = np.zeros(64, np.int64)
+    for i in range(len(words) - 3):
+        h = xxhash.xxh64_intdigest(" ".join(words[i : i + 4]).encode(), 42)
+        ones += np.unpackbits(np.frombuffer(h.to_bytes(8, "little"), np.uint8), bitorder="little")
+    want = sum(1 << b for b in range(64) if 2 * ones[b] > len(words) - 3)
+    assert row.fingerprint == f"{want:016x}"
+
+
 def _brute(data):
     """Links and components of (vec_id, vector, label) by all cosines."""
     keys, degree, pairs = {}, Counter(), []

@@ -96,8 +96,18 @@ def test_calls_are_linked_ordered_checked_and_canonical(spark):
         spark.createDataFrame(results, "call_id string, content string"),
         SCHEMAS,
     )
-    found = {r.call_id: r for r in out.collect()}
-    assert out.count() == 13
+    every = out.collect()
+    assert len(every) == 16
+    # Whatever repeats an identifier or has none is a row of its own.
+    apart = [r for r in every if r.problems and "call_id: " in r.problems]
+    assert sorted((r.call_id or "", r.seq or -1, r.level, r.answered, r.problems) for r in apart) == [
+        ("", -1, None, True, "call_id: missing"),
+        ("", 10, None, False, "call_id: missing"),
+        ("c", -1, None, True, "call_id: repeated"),
+        ("d", 1, None, False, "call_id: repeated"),
+    ]
+    assert {json.loads(r.message)["result"] for r in apart} == {None, "4", "lost"}
+    found = {r.call_id: r for r in every if r not in apart}
     levels = {k: found[k].level for k in "cdefghijklm"}
     assert levels == dict(c=0, d=1, e=2, f=0, g=None, h=None, i=None, j=0, k=0, l=0, m=1)
     assert {k: r.problems for k, r in found.items()} == {
@@ -113,7 +123,6 @@ def test_calls_are_linked_ordered_checked_and_canonical(spark):
         "l": "arguments: not an object",
         "m": "name: unknown tool",
         "x": "call: missing",
-        None: "call_id: missing",
     }
     assert found["c"].message == (
         '{"arguments":{"a":1,"b":2.5,"note":"x \\"é\\"\\n"},"call_id":"c","level":0,'
@@ -124,12 +133,29 @@ def test_calls_are_linked_ordered_checked_and_canonical(spark):
         assert list(parsed) == sorted(parsed) and parsed["valid"] == (row.problems is None)
     assert found["d"].answered and not found["e"].answered
     plan = out._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    assert "Python" not in plan and "Arrow" not in plan and "ShuffledHashJoin" in plan
     empty = spark.createDataFrame([], out.sparkSession.createDataFrame(calls[:1], "conv_id long, call_id string, parent_id string, seq long, name string, arguments string").schema)
     none = spark.createDataFrame([], "call_id string, content string")
     assert toolcalls.link(empty, none, SCHEMAS).collect() == []
 
 
+def test_hot_identifiers_long_texts_and_clashing_columns(spark):
+    """A third of all rows share an identifier; none is lost, and no column gets in the way."""
+    long = json.dumps({"a": 1, "b": 2, "note": "x" * 500_000})
+    calls = [(1, "hot", None, i % 3, "add", '{"a": 1, "b": 2}') for i in range(300)]
+    calls += [(2, f"c{i}", None, i, "add", long if i == 0 else '{"a": 1, "b": 2}') for i in range(600)]
+    names = "conv_id long, call_id string, parent_id string, seq long, name string, arguments string"
+    odd = spark.createDataFrame([(*c, "mine", 7, "x") for c in calls], f"{names}, alone string, level int, _row string")
+    results = spark.createDataFrame([("hot", str(i), "y") for i in range(200)], "call_id string, content string, result string")
+    found = toolcalls.link(odd, results, SCHEMAS).collect()
+    assert len(found) == 900 + 199
+    assert Counter(r.problems for r in found) == {None: 601, "call_id: repeated": 299 + 199}
+    [linked] = [r for r in found if r.call_id == "hot" and r.problems is None]
+    assert linked.answered and json.loads(linked.message)["result"] == "0" and linked.level == 0
+    [whole] = [r for r in found if r.call_id == "c0"]
+    assert len(json.loads(whole.message)["arguments"]["note"]) == 500_000
+
+
 def test_levels_of_a_long_path(spark):
     calls = [(f"n{i}", f"n{i - 1}" if i else None) for i in range(70)] + [(f"s{i}", "n69") for i in range(40)]
     found = toolcalls.levels(spark.createDataFrame(calls, "call_id string, parent_id string"))
