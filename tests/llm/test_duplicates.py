@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from strata.llm import exact, itq, simhash
 from strata.llm.common import attach, components, local_stars, stored
