@@ -140,6 +140,26 @@ def integrity_check(
     return _integrity(transaccion, enriched, [], kept_share)
 
 
+def key_counts(transaccion: DataFrame, *by: str) -> DataFrame:
+    """The fact as a row per person and company (and ``by``), its rows counted as ``MONTO``.
+
+    Store it and look names up in it: the checks of ``counted`` then need the fact once, and a
+    hot person or company is a row per pair.
+    """
+    counts = transaccion.groupBy("ID_PERSONA", "ID_EMPRESA", *by).agg(F.count("*").alias("MONTO"))
+    return counts if "FECHA" in by else counts.withColumn("FECHA", F.lit(None).cast("string"))
+
+
+def integrity_counted(
+    counts: DataFrame, enriched: DataFrame, *, by_date: bool = False, kept_share: float = KEPT_SHARE
+) -> DataFrame:
+    """``integrity_check``, or ``integrity_by_date``, from ``key_counts`` and their enrichment."""
+    keys = ["fecha"] if by_date else []
+    source = counts.withColumn("fecha", F.col("FECHA")) if by_date else counts
+    target = enriched.withColumn("fecha", F.col("FECHA_TRANSACCION")) if by_date else enriched
+    return _integrity(source, target, keys, kept_share, ("MONTO", "MONTO_TRANSACCION"))
+
+
 def integrity_by_date(
     transaccion: DataFrame, enriched: DataFrame, kept_share: float = KEPT_SHARE
 ) -> DataFrame:
@@ -161,17 +181,27 @@ _NULLS = {
 
 
 def _integrity(
-    transaccion: DataFrame, enriched: DataFrame, keys: list[str], kept_share: float
+    transaccion: DataFrame,
+    enriched: DataFrame,
+    keys: list[str],
+    kept_share: float,
+    counts: tuple[str, str] | None = None,
 ) -> DataFrame:
+    """Each row counts one, or what the column of ``counts`` for its side says."""
+    own, theirs = (F.lit(1), F.lit(1)) if counts is None else map(F.col, counts)
+
+    def total(weight: Column, name: str) -> Column:
+        return F.coalesce(F.sum(weight), F.lit(0)).cast("bigint").alias(name)
+
     zero = F.lit(0).cast("bigint")
     names = ["origen", "enriquecidas", *_NULLS]
     source = transaccion.groupBy(*keys).agg(
-        F.count("*").alias("origen"), *[zero.alias(n) for n in names if n != "origen"]
+        total(own, "origen"), *[zero.alias(n) for n in names if n != "origen"]
     )
     target = enriched.groupBy(*keys).agg(
         zero.alias("origen"),
-        F.count("*").alias("enriquecidas"),
-        *[F.count_if(F.col(c).isNull()).alias(n) for n, c in _NULLS.items()],
+        total(theirs, "enriquecidas"),
+        *[total(F.when(F.col(c).isNull(), theirs), n) for n, c in _NULLS.items()],
     )
     counts = source.unionByName(target).groupBy(*keys)
     counts = counts.agg(*[F.sum(n).alias(n) for n in names])

@@ -13,8 +13,8 @@ from strata.functions.casts import lenient_int
 from strata.operators.changes import content_differences
 from strata.operators.checks import (
     chain_metrics,
-    integrity_by_date,
-    integrity_check,
+    integrity_counted,
+    key_counts,
     loss_alert,
     match_report,
     step_metrics,
@@ -216,14 +216,21 @@ def final_metrics(spark, sf_dir):
 
 
 def integrity_check_query(spark, sf_dir):
-    transaccion, persona, empresa = _entities(spark, sf_dir)
-    return integrity_check(transaccion, enrich(transaccion, persona, empresa))
+    """The fact is read once, into counts by person and company that are then looked up."""
+    return _counted_integrity(*_entities(spark, sf_dir))
 
 
 def integrity_by_date_query(spark, sf_dir):
     """The check for each date, so that the alert of one is not lost among the others."""
-    transaccion, persona, empresa = _event_entities(spark, sf_dir)
-    return integrity_by_date(transaccion, enrich(transaccion, persona, empresa))
+    return _counted_integrity(*_event_entities(spark, sf_dir), by_date=True)
+
+
+def _counted_integrity(transaccion, persona, empresa, by_date: bool = False) -> DataFrame:
+    spark, path = transaccion.sparkSession, scratch_path(transaccion.sparkSession, "key-counts")
+    counts = key_counts(transaccion, *(["FECHA"] if by_date else []))
+    write_layer(counts, path)
+    stored = read_layer(spark, path, counts.schema)
+    return integrity_counted(stored, enrich(stored, persona, empresa), by_date=by_date)
 
 
 def loss_alert_query(spark, sf_dir):

@@ -98,3 +98,26 @@ def test_metrics_sum_the_fact_before_they_look_companies_up(spark, setting):
     assert tuple(report.first()) == (1000, 0, 0, 500 * 4 + 500 * 2 - 1000)
     # Summed per task before the shuffle and again after it, and only then looked up.
     assert len(re.findall(r"Keys \[2\]: \[ID_PERSONA#\d+, ID_EMPRESA#\d+\]", plan(report))) == 2
+
+
+def test_counted_checks_are_those_of_every_row(spark, tmp_path):
+    """The fact once, as counts by person and company, gives what all its rows give."""
+    from strata.operators.checks import integrity_by_date, integrity_counted, key_counts
+    from strata.plans.enrichment import enrich
+
+    fact = spark.createDataFrame(
+        [("1", "7", 5.0, "d1")] * 20 + [("2", "8", None, "d1"), ("9", "7", 1.0, "d2"), (None, "7", 1.0, None), ("3", None, 2.0, "d2")],
+        "ID_PERSONA string, ID_EMPRESA string, MONTO double, FECHA string",
+    )
+    persona = spark.createDataFrame(
+        [("1", "Ana", 30, 1.0, "7"), ("2", None, 31, 1.0, "0"), ("2", "Dos", 31, 1.0, "7"), ("3", "Tres", 5, 1.0, None)],
+        "ID string, NOMBRE string, EDAD int, SALARIO double, ID_EMPRESA string",
+    )
+    empresa = spark.createDataFrame([("7", "Siete"), ("7", "Otra")], "ID string, NOMBRE string")
+    for by_date, plain in ((False, integrity_check), (True, integrity_by_date)):
+        counts = key_counts(fact, *(["FECHA"] if by_date else []))
+        found = integrity_counted(counts, enrich(counts, persona, empresa), by_date=by_date)
+        assert rows(found) == rows(plain(fact, enrich(fact, persona, empresa)))
+        assert found.schema == plain(fact, enrich(fact, persona, empresa)).schema
+    none = key_counts(fact.where("false"))
+    assert tuple(integrity_counted(none, enrich(none, persona, empresa)).first())[:2] == (0, 0)
