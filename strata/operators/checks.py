@@ -92,6 +92,9 @@ def _per_person(transaccion: DataFrame, persona: DataFrame, empresa: DataFrame)
     """
     repeated = (
         empresa.where("ID IS NOT NULL").groupBy("ID").agg(F.count("*").alias("k")).where("k > 1")
+        # Where the lookups are shuffled, this gives them a side of its own exchange: adaptive
+        # execution then splits a company with very many persons, as it would not beside a sum.
+        .hint("rebalance")
     )
     weight = F.coalesce("k", F.lit(1))
     amount = F.col("MONTO")

@@ -14,23 +14,42 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.casts import lenient
 from strata.operators.changes import changed_keys, differing, partition_digests, values_of
 from strata.operators.checks import chain_metrics, integrity_check
 from strata.operators.checks import integrity_by_date as check_by_date
 from strata.operators.layout import lower_names
-from strata.operators.quality import apply_rules, audit_rows, stored_report
+from strata.operators.quality import apply_rules, audit_rows, judged, stored_report
 from strata.plans.enrichment import COMPANY_COLUMNS, PERSON_COLUMNS, enrich, small_dimensions
 from strata.sinks.exports import export_csv, export_documents, require_rows, verify_documents
 from strata.sinks.catalog import stored_files
-from strata.sinks.layers import append_audit, stored_partitions, write_layer, write_raw
+from strata.sinks.layers import (
+    append_audit,
+    judged_path,
+    stored_partitions,
+    write_judged,
+    write_layer,
+    write_raw,
+)
 from strata.sources.avro import FORMAT as AVRO
 from strata.sources.avsc import read_avsc
 from strata.sources.delimited import read_delimited, read_raw
 from strata.sources.layers import read_layer
-from strata.specs import AUDIT, EMPRESA, ENTITIES, GOLD, GOLD_PARTITION, PERSONA, TRANSACCION, TableSpec
+from strata.specs import (
+    ACCEPTED,
+    AUDIT,
+    EMPRESA,
+    ENTITIES,
+    GOLD,
+    GOLD_PARTITION,
+    PERSONA,
+    REJECTED,
+    TRANSACCION,
+    TableSpec,
+    partition_last,
+)
 
 # Layer and table names.
 RAW, LANDING, CURATED, FUNCTIONAL = LAYERS = ("workload", "landing", "curated", "functional")
@@ -48,11 +67,14 @@ class Lake:
     """Where the layers of one environment lie, below a root every executor can reach.
 
     ``landing_format`` is any format of the session, or the library's own source of Avro files.
+    ``keep_rejected`` keeps the rows that the curated stage rejects, with their reasons, beside
+    those it accepts.
     """
 
     spark: SparkSession
     root: str
     landing_format: str = "parquet"
+    keep_rejected: bool = False
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table.lower()}"
@@ -76,7 +98,21 @@ class Lake:
         self, spec: TableSpec, dates: Sequence[str | None] | None = None
     ) -> DataFrame:
         how = {"partition_by": spec.partition_by, "only": dates}
-        return read_layer(self.spark, self.path(CURATED, spec.name), spec.curated, **how)
+        return read_layer(self.spark, self.curated_path(spec), spec.curated, **how)
+
+    def rejected(
+        self, spec: TableSpec, dates: Sequence[str | None] | None = None
+    ) -> DataFrame:
+        """Rejected rows, typed, with the names of the rules they fail (motivos)."""
+        path = judged_path(self.path(CURATED, spec.name), REJECTED)
+        names = partition_last(["motivos", *spec.columns], spec.partition_by)
+        schema = StructType([*spec.curated, StructField("motivos", StringType())])
+        how = {"partition_by": spec.partition_by, "only": dates}
+        return read_layer(self.spark, path, schema, **how).select(*names)
+
+    def curated_path(self, spec: TableSpec) -> str:
+        path = self.path(CURATED, spec.name)
+        return judged_path(path, ACCEPTED) if self.keep_rejected else path
 
     def gold(self, dates: Sequence[str | None] | None = None) -> DataFrame:
         how = {"partition_by": GOLD_PARTITION, "only": dates}
@@ -162,9 +198,18 @@ def run_curated(
     def curate(spec: TableSpec) -> None:
         scope = scopes[spec.name]
         landing = lake.landing(spec, scope)
+        if lake.keep_rejected and validate:
+            write_judged(
+                judged(landing, spec),
+                lake.path(CURATED, spec.name),
+                partition_by=spec.partition_by,
+                mode=_entity_mode(spec, mode),
+                scope=scope,
+            )
+            return
         write_layer(
             apply_rules(landing, spec, validate=validate),
-            lake.path(CURATED, spec.name),
+            lake.curated_path(spec),
             partition_by=spec.partition_by,
             mode=_entity_mode(spec, mode),
             clustered=True,
@@ -207,7 +252,7 @@ def run_functional(
         behind = dates_behind(lake)
         mode, dates = ("full", None) if behind is None else (mode, {*dates, *behind})
     persona, empresa = lake.curated(PERSONA), lake.curated(EMPRESA)
-    path = lake.path(CURATED, TRANSACCION.name)
+    path = lake.curated_path(TRANSACCION)
     scope = _scope(lake.spark, path, TRANSACCION, mode, dates)
     transaccion = lake.curated(TRANSACCION, scope)
     small = small_dimensions(persona, empresa) if strategy == "broadcast" else (False, False)
@@ -316,7 +361,10 @@ def storage_report(lake: Lake) -> DataFrame:
     out = None
     for layer, name, fmt, stored in tables:
         ending = "avro" if fmt == AVRO else fmt
-        files = stored_files(lake.spark, lake.path(layer, name), ending).agg(
+        place = lake.path(layer, name)
+        if layer == CURATED:
+            place = lake.curated_path(next(s for s in ENTITIES if s.name == name))
+        files = stored_files(lake.spark, place, ending).agg(
             F.lit(layer).alias("capa"),
             F.lit(name.lower()).alias("tabla"),
             F.lit(fmt).alias("formato"),

@@ -59,6 +59,9 @@ def _register(
         return
     table = f"{database(environment, layer)}.{name.lower()}"
     catalog.drop_table(lake.spark, table)
-    catalog.create_table(lake.spark, table, schema, lake.path(layer, name), **how)
+    place = lake.path(layer, name)
+    if layer == CURATED:
+        place = lake.curated_path(next(s for s in ENTITIES if s.name == name))
+    catalog.create_table(lake.spark, table, schema, place, **how)
     if how.get("partition_by"):
         catalog.register_partitions(lake.spark, table)

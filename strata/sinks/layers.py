@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.files import file_system
 from strata.sources import avro
 from strata.sources.delimited import DIALECT, LAYER_ENCODING
-from strata.specs import partition_last
+from strata.specs import ACCEPTED, REJECTED, VERDICT, partition_last
 
 COMPRESSION = "snappy"
 MODES = ("full", "incremental")
@@ -80,15 +80,40 @@ def write_layer(
         _drop_stale(before, _listed(spark, path, partition_by, wanted))
 
 
-def write_judged(df: DataFrame, path: str, *, partition_by: str | None = None) -> None:
-    """Accepted and rejected rows (``operators.quality.judged``) in one pass, each under a
-    folder of its verdict; ``read_judged`` then reads one side without the other."""
-    out = df.select(*partition_last([c for c in df.columns if c != "veredicto"], partition_by), "veredicto")
-    by = ["veredicto", *([partition_by] if partition_by else [])]
+def write_judged(
+    df: DataFrame,
+    path: str,
+    *,
+    partition_by: str | None = None,
+    mode: str = "full",
+    scope: Iterable[str | None] | None = None,
+) -> None:
+    """Accepted and rejected rows (``operators.quality.judged``) in one pass, each side a layer
+    of its own under ``judged_path``. ``mode`` and ``scope`` are those of ``write_layer``."""
+    columns = partition_last([c for c in df.columns if c != VERDICT], partition_by)
+    by = [VERDICT, *([partition_by] if partition_by else [])]
+    spark, wanted = df.sparkSession, None if scope is None else set(scope)
+    sides = [judged_path(path, verdict) for verdict in (ACCEPTED, REJECTED)]
+    before = []
+    if mode == "incremental" and wanted:
+        before = [f for side in sides for f in _listed(spark, side, partition_by, wanted)]
+    out = df.select(*columns, VERDICT)
     if partition_by is not None:
         out = out.hint("rebalance", *by)
-    writer = out.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*by)
-    writer.parquet(path)
+    overwrite = "dynamic" if mode == "incremental" else "static"
+    writer = out.write.mode("overwrite").option("compression", COMPRESSION)
+    writer.option("partitionOverwriteMode", overwrite).partitionBy(*by).parquet(path)
+    if before:
+        after = [f for side in sides for f in _listed(spark, side, partition_by, wanted)]
+        _drop_stale(before, after)
+    for side in sides:
+        system, base = file_system(side)
+        system.create_dir(base, recursive=True)
+
+
+def judged_path(path: str, verdict: str) -> str:
+    """Where the rows of a verdict lie under the path of their entity."""
+    return f"{path}/{VERDICT}={verdict}"
 
 
 def stored_partitions(

@@ -52,7 +52,8 @@ GOLD = StructType(
 )
 GOLD_PARTITION = "FECHA_TRANSACCION"
 
-# The verdicts on a row.
+# The column of the verdict on a row, and the verdicts.
+VERDICT = "veredicto"
 ACCEPTED, REJECTED = "aceptada", "rechazada"
 
 AUDIT = StructType(

@@ -181,6 +181,35 @@ def test_reasons_name_every_rule_that_fails(spark, tmp_path):
     assert row.motivos == "id_present,employer_present,age_in_range,salary_in_range"
 
 
+def test_the_curated_stage_keeps_what_it_rejects(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), keep_rejected=True)
+    _deliver(lake, tmp_path, PERSONA=PEOPLE, EMPRESA=COMPANIES, TRANSACCION=FACTS)
+    report = {r.tabla: (r.origen, r.curated) for r in run_curated(lake, "t1").collect()}
+    assert report == {"PERSONA": (3, 2), "EMPRESA": (2, 2), "TRANSACCION": (7, 4)}
+    found = sorted((r.MONTO or 0, r.FECHA, r.motivos) for r in lake.rejected(TRANSACCION).collect())
+    assert found == [
+        (-1.0, "2024-01-03", "amount_not_negative"),
+        (0, "2024-01-03", "amount_not_negative"),
+        (1.0, "2024-01-03", "person_present"),
+    ]
+    assert [r.motivos for r in lake.rejected(PERSONA).collect()] == ["age_in_range"]
+    assert lake.rejected(_others()[0]).collect() == []
+    run_functional(lake)
+    assert lake.gold().count() == 3
+    # A corrected date: what was rejected is accepted, and the other way round.
+    swapped = "ID_PERSONA|ID_EMPRESA|MONTO|FECHA\n1|1|4|2024-01-03\n1|2|-5|2024-01-01\n"
+    (tmp_path / "TRANSACCION").write_text(swapped)
+    run_raw(lake, {"TRANSACCION": str(tmp_path / "TRANSACCION")}, [TRANSACCION])
+    run_landing(lake, [TRANSACCION], mode="incremental")
+    dates = ["2024-01-01", "2024-01-03"]
+    run_curated(lake, "t2", [TRANSACCION], mode="incremental", dates=dates)
+    assert sorted((r.MONTO, r.FECHA) for r in lake.curated(TRANSACCION).collect()) == [
+        (0.0, "2024-01-02"), (4.0, "2024-01-03"), (9.0, "2024-01-02"),
+    ]
+    assert [(r.MONTO, r.FECHA) for r in lake.rejected(TRANSACCION).collect()] == [(-5.0, "2024-01-01")]
+    assert lake.rejected(TRANSACCION, ["2024-01-03"]).collect() == []
+
+
 # --- documents --------------------------------------------------------------------------
 
 
