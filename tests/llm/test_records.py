@@ -248,3 +248,27 @@ def test_long_and_many_records_are_read_in_windows():
         assert sum(1 for _ in warc.parse_records(small * count)) == count
         seconds.append(time.process_time() - start)
     assert seconds[1] < 24 * seconds[0]
+
+
+def test_a_page_beyond_an_archive_comes_back_whole(spark):
+    long = "<p>é " * 3_500_000
+    assert len(long.encode()) > warc.ARCHIVE_BYTES
+    data = [(1, "http://a", long), (2, "http://b", "short"), (3, "http://c", long)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(1)
+    manifest = warc.write_archives(pages)
+    assert manifest.count() > 1
+    found = {r.page_id: r for r in warc.captures(manifest).collect()}
+    for page_id, _, html in data:
+        row, body = found[page_id], html.encode()
+        assert (row.payload_bytes, row.payload_digest) == (len(body), warc.payload_digest(body))
+    assert (found[3].record_type, found[3].refers_to, found[1].record_type) == ("revisit", 1, "response")
+
+
+def test_a_text_beyond_a_run_makes_the_round_trip(spark):
+    text = "".join(f"word{i % 997} über\n" for i in range(260_000))
+    assert len(text) > pieces._CHARS_AT_ONCE
+    docs = spark.createDataFrame([(1, text), (2, "short"), (3, text)], "doc_id long, text string").repartition(1)
+    found = {r.doc_id: r for r in pieces.round_trip(docs).collect()}
+    sha = hashlib.sha256(text.encode()).hexdigest()
+    assert found[1].text_sha256 == found[3].text_sha256 == sha and found[1].ids == found[3].ids
+    assert found[1].n_ids == len(found[1].ids) // 4
