@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.lookup import lookup
+from strata.operators.lookup import is_small, lookup
 
 # Fixed value: joins a key and the first day of a bucket; no date begins with it.
 _SEPARATOR = "@"
@@ -48,7 +48,8 @@ def interval_lookup(
 
     An interval holds from ``since`` up to but without ``until``, NULL for open; those of a key
     must not overlap. Intervals are cut to the days that the fact has, so an open one has as many
-    pieces as the fact has buckets. A fact without key or day finds nothing.
+    pieces as the fact has buckets. A fact without key or day finds nothing. Pieces are counted
+    first; only few are ever broadcast.
     """
     edges = fact.agg(F.min(fact_day).alias("first"), F.max(fact_day).alias("last")).first()
     first, last = F.lit(edges["first"]).cast("date"), F.lit(edges["last"]).cast("date")
@@ -65,6 +66,10 @@ def interval_lookup(
     cells = pieces.groupBy(_cell(F.col(key), F.col("_bucket")).alias("_cell")).agg(
         F.collect_list(found).alias("_held")
     )
+    # Spark takes exploded rows for no larger than their source, so by its own estimate it would
+    # broadcast any number of cells.
+    if not is_small(pieces.select(key, "_bucket", since, until, *attributes)):
+        cells = cells.hint("merge")
     own = _cell(F.col(fact_key), F.trunc(fact_day, unit))
     met = lookup(
         fact.withColumn("_own", own), cells, "_own", "_cell", {"_held": "_held"}, "left", strategy

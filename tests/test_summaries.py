@@ -67,6 +67,19 @@ def test_closed_intervals_and_empty_sides(spark):
     assert {r.v for r in interval_lookup(fact, intervals.where("false"), *how).collect()} == {None}
 
 
+@pytest.mark.parametrize("strategy", ["auto", "broadcast", "isolate"])
+def test_many_pieces_of_few_intervals_are_not_broadcast(spark, strategy):
+    history = spark.range(120).selectExpr("CAST(id AS STRING) AS id", "DATE '2000-01-01' AS since", "CAST(id % 7 AS STRING) AS v")
+    fact = spark.range(3000).selectExpr("CAST(id % 150 AS STRING) AS k", "date_add(DATE '1999-12-31', CAST(id * 3 AS INT)) AS d")
+    how = ("k", F.col("d"), "id", "since", ["v"])
+    found = as_of(fact, history, *how, unit="week", strategy=strategy)
+    assert "BroadcastHashJoin" not in plan(found) and "SortMergeJoin" in plan(found)
+    wanted = fact.selectExpr("k", "d", "IF(INT(k) < 120 AND d >= DATE '2000-01-01', STRING(INT(k) % 7), NULL) AS v")
+    assert rows(found) == rows(wanted)
+    few = as_of(fact.where("d < DATE '2000-06-01'"), history, *how, unit="week", strategy=strategy)
+    assert "BroadcastHashJoin" in plan(few)
+
+
 def test_intervals_end_where_the_next_begins(spark):
     history = spark.createDataFrame([(k, d and day(d), v) for k, d, v in HISTORY], "id string, since date, v string")
     found = {(r.id, str(r.since), r.v): r.hasta for r in as_intervals(history, "id", "since").collect()}
