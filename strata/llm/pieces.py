@@ -19,6 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -200,38 +201,55 @@ def encode(docs: DataFrame, model: str = PIECES) -> DataFrame:
     A missing or empty text has no ids. Other columns are ignored; repeated rows are encoded
     each. A mark in a text stands for a blank.
     """
-
-    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = list(codec(model).encode_batch(batch["text"].to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(ids, pa.binary())], ["doc_id", "ids"]
-            )
-
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return texts.mapInArrow(of_batch, "doc_id long, ids binary")
+    return _texts(docs).mapInArrow(lambda batches: _encoded(batches, model), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, model: str = PIECES) -> DataFrame:
     """(doc_id, ids, text) of encoded documents: the text again, with marks as blanks."""
+    return encoded.select("doc_id", "ids").mapInArrow(
+        lambda batches: _decoded(batches, model), "doc_id long, ids binary, text string"
+    )
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
-    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [codec(model).decode(i or b"") for i in batch["ids"].to_pylist()]
+
+def _encoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for run in _runs(batch, pc.utf8_length(batch["text"]), _CHARS_AT_ONCE):
+            ids = pa.array(codec(model).encode_batch(run["text"].to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([run["doc_id"], ids], ["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for run in _runs(batch, pc.binary_length(batch["ids"]), _CHARS_AT_ONCE * ID_TYPE.itemsize):
+            texts = (codec(model).decode(i.as_py() or b"") for i in run["ids"])
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["ids"], pa.array(texts, pa.string())],
+                [run["doc_id"], run["ids"], pa.array(texts, pa.string())],
                 ["doc_id", "ids", "text"],
             )
 
-    return encoded.select("doc_id", "ids").mapInArrow(
-        of_batch, "doc_id long, ids binary, text string"
-    )
+
+def _runs(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose rows first reach ``most`` together; what is made of a slice, and
+    not of a whole batch, is in memory at a time."""
+    start, size = 0, 0
+    for at, own in enumerate(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).tolist(), 1):
+        size += own
+        if size >= most or at == batch.num_rows:
+            yield batch.slice(start, at - start)
+            start, size = at, 0
 
 
 def round_trip(docs: DataFrame, model: str = PIECES) -> DataFrame:
     """What ``encode`` gives and ``decode`` makes of it again: doc_id, ids, n_ids, ids_crc32 and
-    the decoded text's text_sha256. Nothing is shuffled or stored."""
-    both = decode(encode(docs, model), model)
+    the decoded text's text_sha256. Nothing is shuffled or stored; one worker does both."""
+    both = _texts(docs).mapInArrow(
+        lambda batches: _decoded(_encoded(batches, model), model),
+        "doc_id long, ids binary, text string",
+    )
     return both.select(
         "doc_id",
         "ids",

@@ -6,13 +6,14 @@ from collections import Counter
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strata.llm import pieces, toolcalls, warc
 from strata.llm.common import read_file
 from strata.llm.queries import ORACLES, REGISTERED
 from strata.llm.tokens import ID_TYPE, vocabulary_path
-from tests.support import compare, duck, rows
+from tests.support import compare, duck, plan, rows
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -272,3 +273,18 @@ def test_a_text_beyond_a_run_makes_the_round_trip(spark):
     sha = hashlib.sha256(text.encode()).hexdigest()
     assert found[1].text_sha256 == found[3].text_sha256 == sha and found[1].ids == found[3].ids
     assert found[1].n_ids == len(found[1].ids) // 4
+
+
+def test_pieces_of_a_large_batch_come_in_slices(spark, monkeypatch):
+    """A worker holds what it makes of a slice of a batch, and one worker encodes and decodes."""
+    monkeypatch.setattr(pieces, "_CHARS_AT_ONCE", 100)
+    texts = ["word " * 15, None, "", "é" * 250, "a b", *["some words"] * 40]
+    whole = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    made = list(pieces._encoded(iter([whole, whole.slice(0, 0)]), pieces.PIECES))
+    assert len(made) > 4 and [i for b in made for i in b["doc_id"].to_pylist()] == list(range(len(texts)))
+    own = pieces.codec(pieces.PIECES)
+    assert [i for b in made for i in b["ids"].to_pylist()] == list(own.encode_batch(texts))
+    read = [t for b in pieces._decoded(iter(made), pieces.PIECES) for t in b["text"].to_pylist()]
+    assert read == [t or "" for t in texts]
+    docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
+    assert plan(pieces.round_trip(docs)).count(") MapInArrow") == plan(pieces.encode(docs)).count(") MapInArrow")
