@@ -13,7 +13,9 @@ anyway, codes cannot tell links apart, and vectors are compared exactly, in bloc
 
 A label's vectors travel once as homes and once, per lane of homes, as visitors; the tables are
 built in the task that has a lane's homes. A label of very many lanes is first dealt by the low
-bits of its parts, more of them the larger it is, so that a visitor sees the lanes near it only.
+bits of each part, more of them the larger it is, so that a visitor sees the lanes near it only:
+those whose low bits differ in no more bits than whole parts may. How vectors travel, lanes or
+blocks never say which pairs meet; that is up to their codes alone.
 
 Equal vectors count once, with their number as weight. What leaves a task is a sum per vector
 and a star of links over the vectors found connected, never the pairs themselves.
@@ -22,6 +24,7 @@ and a star of links over the vectors found connected, never the pairs themselves
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 from typing import NamedTuple
 
 import numpy as np
@@ -104,20 +107,22 @@ def encode(vectors: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.
     return packed.view("<i8").ravel().astype(np.int64)
 
 
-def _parts(differ: np.ndarray, mask: int = (1 << _PART) - 1) -> np.ndarray:
-    """Bits set in the low bits of each part: one row a code."""
-    parts = np.ascontiguousarray(differ.astype("<i8")).view("<u2").reshape(-1, _TABLES)
-    return np.bitwise_count(parts & np.uint16(mask))
+def _parts(differ: np.ndarray) -> np.ndarray:
+    """Bits set in each part: one row a code."""
+    return np.bitwise_count(_code_parts(differ))
 
 
-def _meets(differ: np.ndarray, reach: int, routed: int) -> np.ndarray:
-    met = (_parts(differ) <= reach).any(axis=1)
-    if routed:
-        met &= (_parts(differ, (1 << routed) - 1) <= 1).any(axis=1)
-    return met
+def _first_table(differ: np.ndarray, reach: int) -> np.ndarray:
+    """The first table in which two codes meet, ``_TABLES`` if they meet in none."""
+    near = _parts(differ) <= reach
+    return np.where(near.any(axis=1), near.argmax(axis=1), _TABLES)
 
 
-def settle(unit: np.ndarray, threshold: float, routed: int = 0, seed: int = 3) -> Model:
+def _meets(differ: np.ndarray, reach: int) -> np.ndarray:
+    return _first_table(differ, reach) < _TABLES
+
+
+def settle(unit: np.ndarray, threshold: float, seed: int = 3) -> Model:
     """The first setting whose codes find nearly all pairs at the threshold, or exact blocks."""
     rng = np.random.default_rng(seed)
     some = unit[rng.permutation(len(unit))[:3_000]]
@@ -141,20 +146,20 @@ def settle(unit: np.ndarray, threshold: float, routed: int = 0, seed: int = 3) -
         strange = codes ^ codes[rng.permutation(len(codes))]
         strange = strange[strange != 0]
         for reach in (2, 3):
-            found = min((_meets(d, reach, routed).mean() for d in differ if len(d)), default=1.0)
-            crowd = _meets(strange, reach, 0).mean() if len(strange) else 0.0
+            found = min((_meets(d, reach).mean() for d in differ if len(d)), default=1.0)
+            crowd = _meets(strange, reach).mean() if len(strange) else 0.0
             if found >= RECALL and crowd <= MOST_MEETING:
                 return Model(mean, projection, reach, False)
     return Model(mean, projection, 0, True)
 
 
-def _fit(sample: DataFrame, threshold: float = THRESHOLD, routed: int = 0) -> Model:
+def _fit(sample: DataFrame, threshold: float = THRESHOLD) -> Model:
     """The model from a bounded sample of vectors of one width, learnt in one task."""
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [np.vstack(b["vector"].to_numpy()) for b in batches if len(b)]
         if parts:
-            model = settle(unit_rows(np.vstack(parts)), threshold, routed)
+            model = settle(unit_rows(np.vstack(parts)), threshold)
             rows = [[float(model.reach), float(model.exact)], model.mean, *model.projection]
             yield pd.DataFrame({"at": range(-2, len(rows) - 2), "row": rows})
 
@@ -251,9 +256,8 @@ def _links(classes, width, threshold, sample, most_homes, most_lanes) -> DataFra
     """Sums (a, null, n) and links (a, b, 0) among distinct vectors, named by ``node``."""
     sizes = stored(classes.groupBy("label").agg(F.count("*").alias("_size")), "label-sizes")
     largest = sizes.agg(F.max("_size")).first()[0]
-    most_routed = _route_bits(largest, most_homes, most_lanes)
     few = classes.orderBy(F.xxhash64("vector", "label"), "node").limit(sample)
-    model = _fit(few.select("vector"), threshold, most_routed)
+    model = _fit(few.select("vector"), threshold)
 
     @F.pandas_udf("long")
     def code(vector: pd.Series) -> pd.Series:
@@ -263,16 +267,14 @@ def _links(classes, width, threshold, sample, most_homes, most_lanes) -> DataFra
 
     # The bits that a label is dealt by: none but for very large ones.
     routed = F.lit(0)
-    if most_routed and not model.exact:
-        bits = F.ceil(F.log2(F.col("_count") / most_homes)).cast("int")
-        large = F.col("_count") > most_homes * most_lanes
-        routed = F.when(large, F.least(bits, F.lit(_PART))).otherwise(0)
+    if largest > most_homes * most_lanes and not model.exact:
+        routed = _route_bits(F.col("_count") / most_homes, most_lanes, model.reach)
         classes = attach(
             classes, sizes.withColumn("_count", F.col("_size")), ["label"], ["node"]
         )
     coded = classes.withColumns({"code": code("vector"), "routed": routed.cast("byte")})
     coded = stored(coded, "vector-codes")
-    spread = coded.withColumn("visit", F.explode(_visits())).select(
+    spread = coded.withColumn("visit", F.explode(_visits(model.reach))).select(
         "label",
         _bucket().alias("bucket"),
         F.when(F.col("visit.f") < 0, 0).otherwise(1).cast("byte").alias("role"),
@@ -292,21 +294,24 @@ def _links(classes, width, threshold, sample, most_homes, most_lanes) -> DataFra
     return sent.mapInArrow(compare, "a long, b long, n long")
 
 
-def _route_bits(size: int, most_homes: int, most_lanes: int) -> int:
-    if size <= most_homes * most_lanes:
-        return 0
-    return min(_PART, int(np.ceil(np.log2(size / most_homes))))
+def _route_bits(lanes: Column, most_lanes: int, reach: int) -> Column:
+    """Low bits that leave about a lane a bucket; none where fewer lanes than ``most_lanes``, or
+    than the buckets that a visitor would go to, serve as well. Both bring the same pairs."""
+    bits = F.least(F.ceil(F.log2(lanes)).cast("int"), F.lit(_PART))
+    visits = [_TABLES * sum(comb(b, i) for i in range(reach + 1)) for b in range(_PART + 1)]
+    large = lanes > F.greatest(F.lit(most_lanes), F.get(F.lit(visits), bits))
+    return F.when(large, bits).otherwise(0)
 
 
-def _visits() -> Column:
+def _visits(reach: int) -> Column:
     """(table t, flip f) of a row: at home (f = -1) and as a visitor, in the one bucket of a small
-    label; else in every table, as a visitor of its own bucket and those one bit away."""
+    label; else in every table, as a visitor of all buckets up to ``reach`` bits away."""
     whole = F.array(*[F.struct(F.lit(0).alias("t"), F.lit(f).alias("f")) for f in (-1, 0)])
+    flips = ", ".join(map(str, _masks(reach).tolist()))
     routes = F.expr(
-        f"""flatten(transform(sequence(0, {_TABLES - 1}), t -> concat(
-          array(named_struct('t', t, 'f', -1), named_struct('t', t, 'f', 0)),
-          transform(sequence(0, greatest(int(routed), 1) - 1),
-            b -> named_struct('t', t, 'f', shiftleft(1, b))))))"""
+        f"""flatten(transform(sequence(0, {_TABLES - 1}), t -> transform(
+          filter(array(-1, {flips}), f -> f < shiftleft(1, int(routed))),
+          f -> named_struct('t', t, 'f', f))))"""
     )
     return F.when(F.col("routed") == 0, whole).otherwise(routes)
 
@@ -386,8 +391,10 @@ def _searched(batches, width: int, threshold: float, model: Model):
 def _linked(homes: _Homes, some: dict, threshold: float, model: Model, masks: np.ndarray):
     """Linked pairs of some visitors with the homes of their lane."""
     count, visitors = len(homes.rows["node"]), len(some["node"])
-    probes = [] if model.exact else _probes(homes, some, masks)
-    met = sum(int(n.sum()) for _, n in probes)
+    # A bucket of a label that is dealt by codes answers for its own table only.
+    tables = [int(some["bucket"][0]) >> _PART] if some["routed"][0] else range(_TABLES)
+    probes = [] if model.exact else [(t, *_probe(homes, some, t, masks)) for t in tables]
+    met = sum(int(n.sum()) for *_, n in probes)
     if model.exact or met > MOST_MEETING * count * visitors:
         # Most homes meet the visitors, so products of whole blocks cost less than pairs.
         step = max(1, 4_000_000 // count)
@@ -395,44 +402,40 @@ def _linked(homes: _Homes, some: dict, threshold: float, model: Model, masks: np
             part = {k: v[at : at + step] for k, v in some.items()}
             cosine = part["vector"] @ homes.rows["vector"].T
             v, h = np.nonzero(cosine >= threshold - 1e-9)
+            if not model.exact:
+                differ = homes.rows["code"][h] ^ part["code"][v]
+                own = np.isin(_first_table(differ, model.reach), tables)
+                v, h = v[own], h[own]
             yield from _reranked(homes, part, h, v, threshold)
         return
     found_h, found_v = [], []
-    for t, (low, n) in enumerate(probes):
+    for t, low, n in probes:
         at = np.repeat(np.arange(visitors), n.sum(axis=1))
         first, length = low.ravel(), n.ravel()
         before = np.cumsum(length) - length
         place = np.repeat(first - before, length) + np.arange(int(length.sum()))
         h = homes.order[t][place]
         if t:
-            # Those that have met in a table before.
+            # Others have met in a table before.
             differ = homes.rows["code"][h] ^ some["code"][at]
-            new = ~(_parts(differ)[:, :t] <= model.reach).any(axis=1)
+            new = _first_table(differ, model.reach) == t
             h, at = h[new], at[new]
         found_h.append(h)
         found_v.append(at)
     yield from _reranked(homes, some, np.concatenate(found_h), np.concatenate(found_v), threshold)
 
 
-def _probes(homes: _Homes, some: dict, masks: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each table where the homes near each visitor begin, and how many there are."""
-    out = []
-    for part, start in zip(_code_parts(some["code"]).T, homes.start, strict=True):
-        near = (part[:, None] ^ masks[None, :]).astype(np.int64)
-        low = start[near]
-        out.append((low, start[near + 1] - low))
-    return out
+def _probe(homes: _Homes, some: dict, t: int, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in a table the homes near each visitor begin, and how many there are."""
+    near = (_code_parts(some["code"])[:, t, None] ^ masks[None, :]).astype(np.int64)
+    low = homes.start[t][near]
+    return low, homes.start[t][near + 1] - low
 
 
 def _reranked(homes: _Homes, some: dict, home: np.ndarray, visitor: np.ndarray, threshold: float):
     """The pairs whose cosine, in double precision, reaches the threshold."""
     rows = homes.rows
     wanted = rows["node"][home] != some["node"][visitor]
-    routed, table = int(some["routed"][0]), int(some["bucket"][0]) >> _PART
-    if routed and table:
-        # A pair counts in the first table that brings it together.
-        differ = rows["code"][home] ^ some["code"][visitor]
-        wanted &= ~(_parts(differ, (1 << routed) - 1)[:, :table] <= 1).any(axis=1)
     home, visitor = home[wanted], visitor[wanted]
     for at in range(0, len(home), _PAIRS):
         h, v = home[at : at + _PAIRS], visitor[at : at + _PAIRS]

@@ -285,6 +285,42 @@ def test_labels_of_many_lanes_are_dealt_by_their_codes(spark):
     assert all(r.n_links <= degree[i] for i, r in found.items())
 
 
+def test_links_do_not_depend_on_how_vectors_travel(spark, monkeypatch):
+    """One lane, many lanes, dealt by codes: the pairs whose codes meet, and those only."""
+    rng = np.random.default_rng(11)
+    x = rng.choice([-1.0, 1.0], (120, 64))
+    x[:, [t * 16 + i for t in range(4) for i in range(3)]] *= 0.1
+    near = x[:60].copy()
+    # The low bits of every part: two differ in the first forty pairs, three in the others.
+    near[:, [t * 16 + i for t in range(4) for i in range(2)]] *= -1
+    near[40:, [t * 16 + 2 for t in range(4)]] *= -1
+    model = itq.Model(np.zeros(64), np.eye(64), 2, False)
+    monkeypatch.setattr(itq, "_fit", lambda *_: model)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.vstack([x, near]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    pairs = {i: i - 120 for i in range(120, 160)}
+    for most_homes, most_lanes in ((20_000, 32), (50, 1000), (1, 4)):
+        found = itq.near_duplicates(df, most_homes=most_homes, most_lanes=most_lanes).collect()
+        assert {r.vec_id for r in found if r.n_links} == {*pairs, *pairs.values()}
+        assert all(r.component_id == pairs.get(r.vec_id, r.vec_id) and r.n_links <= 1 for r in found)
+
+
+def test_blocks_link_the_pairs_that_tables_link(monkeypatch):
+    rng = np.random.default_rng(12)
+    vectors = itq.unit_rows(np.repeat(rng.standard_normal((60, 64)), 5, axis=0) + 0.25 * rng.standard_normal((300, 64)))
+    model = itq.Model(*itq.learn(vectors), 0, False)
+    rows = {"vector": vectors, "code": itq.encode(vectors, model.mean, model.projection)}
+    rows |= {"node": np.arange(300), "routed": np.zeros(300, int), "bucket": np.zeros(300, int)}
+    homes, found = itq._Homes(), []
+    homes.add(rows)
+    homes.build()
+    for share in (1.0, -1.0):
+        monkeypatch.setattr(itq, "MOST_MEETING", share)
+        pairs = itq._linked(homes, rows, 0.93, model, itq._masks(0))
+        found.append({(a, b) for _, _, h, v in pairs for a, b in zip(h.tolist(), v.tolist(), strict=True)})
+    assert found[0] == found[1] and found[0]
+
+
 def test_very_long_and_short_vectors_have_cosines_too(spark):
     data = [(1, [1e300, 1e300]), (2, [1.0, 1.0]), (3, [1e-300, 1e-300]), (4, [1.0, -1.0]), (5, [1.0]), (6, [2.0]), (7, [])]
     df = spark.createDataFrame([(*r, 0) for r in data], "vec_id long, embedding array<double>, label int")
